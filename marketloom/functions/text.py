@@ -24,6 +24,11 @@ CONTENT_TYPE_PATTERN = r"\A[A-Za-z0-9!#$&^_.+*/;= -]+\z"
 MAX_TOP_K = 20
 MAX_LIMIT = 100
 
+# URL shapes: host[:port] without user info, and the (scheme, host) of any URL.
+_HOST = r"(?:\[[^\]/?#@]*\]|[^/?#@:\[\]]+)"
+_CLEAN_AUTHORITY = rf"{_HOST}(?::[^/?#@]*)?"
+ORIGIN_PATTERN = rf"\A([a-z][a-z0-9+.-]*)://(?:[^/?#]*@)?({_HOST})"
+
 # Redaction rules as (pattern, replacement), applied in order after white space
 # is collapsed. Group 1 is the character before the word (a Unicode-aware word boundary).
 REDACTION_RULES = (
@@ -54,17 +59,25 @@ def collapse_ws(c: Column) -> Column:
     return F.coalesce(F.btrim(F.regexp_replace(c, WS_CLASS + "+", " "), F.lit(" ")), F.lit(""))
 
 
+def _whole_match(c: Column, pattern: str) -> Column:
+    """The text itself where the pattern matches all of it, else NULL (one evaluation of ``c``)."""
+    return F.nullif(F.regexp_extract(c, pattern, 0), F.lit(""))
+
+
+def ticker_or_blank(c: Column) -> Column:
+    """Upper-cased ticker, '' where the text is not a ticker (one evaluation, also in lambdas)."""
+    return F.regexp_extract(F.upper(trim_ws(c)), TICKER_PATTERN, 0)
+
+
 def normalize_ticker(c: Column) -> Column:
     """Upper-cased ticker, NULL where the text is not a ticker."""
-    t = F.upper(trim_ws(c))
-    return F.when(t.rlike(TICKER_PATTERN), t)
+    return F.nullif(ticker_or_blank(c), F.lit(""))
 
 
 def normalize_email(c: Column) -> Column:
     """Lower-cased address with exactly one @ and no white space, else NULL."""
-    e = F.lower(trim_ws(c))
     part = rf"[^@{_WS}]+"
-    return F.when(e.rlike(rf"\A{part}@{part}\z"), e)
+    return _whole_match(F.lower(trim_ws(c)), rf"\A{part}@{part}\z")
 
 
 def bounded_text(c: Column, maximum: int) -> Column:
@@ -113,38 +126,31 @@ def non_blank_spaces(c: Column) -> Column:
     return F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
 
 
-def url_part(c: Column, part: str) -> Column:
-    return F.try_parse_url(c, F.lit(part))
-
-
 def is_http_url(c: Column) -> Column:
-    return F.coalesce(F.lower(url_part(c, "PROTOCOL")).isin("http", "https"), F.lit(False))
+    return F.coalesce(c.rlike(r"\A(?i:https?):"), F.lit(False))
 
 
 def is_usable_url(c: Column) -> Column:
     """http(s) with a host and without a user or password."""
-    u = collapse_ws(c)
-    return is_http_url(u) & url_part(u, "HOST").isNotNull() & url_part(u, "USERINFO").isNull()
+    return F.coalesce(collapse_ws(c).rlike(rf"\A(?i:https?)://{_CLEAN_AUTHORITY}(?:[/?#]|\z)"), F.lit(False))
 
 
 def https_base_url(c: Column) -> Column:
     """Credential-free https base without query or fragment, trailing slashes stripped, else NULL."""
-    u = F.regexp_replace(trim_ws(c), r"/+\z", "")
-    ok = (
-        (F.lower(url_part(u, "PROTOCOL")) == "https")
-        & url_part(u, "HOST").isNotNull()
-        & url_part(u, "USERINFO").isNull()
-        & (F.coalesce(url_part(u, "QUERY"), F.lit("")) == "")
-        & (F.coalesce(url_part(u, "REF"), F.lit("")) == "")
-    )
-    return F.when(ok, u)
+    stripped = F.regexp_replace(trim_ws(c), r"/+\z", "")
+    return _whole_match(stripped, rf"\A(?i:https)://{_CLEAN_AUTHORITY}(?:/[^?#]*)?\??#?\z")
 
 
 def same_origin(a: Column, b: Column) -> Column:
-    def same(part: str) -> Column:
-        return F.lower(url_part(a, part)) == F.lower(url_part(b, part))
+    """Same scheme and host, whatever the case, user or port."""
+
+    def origin(c: Column) -> Column:
+        return _whole_match(F.lower(c), ORIGIN_PATTERN)
+
+    def site(c: Column) -> Column:
+        return F.concat(*[F.regexp_extract(F.lower(c), ORIGIN_PATTERN, g) for g in (1, 2)])
 
-    return F.coalesce(same("PROTOCOL") & same("HOST"), F.lit(False))
+    return F.coalesce(origin(a).isNotNull() & (site(a) == site(b)), F.lit(False))
 
 
 def metadata_fallback(title: Column, description: Column) -> Column:

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marketloom.functions.text import blank_to_null
 
 
+def with_parsed(df: DataFrame, payload: str = "payload", path: str = "$", name: str = "_r") -> DataFrame:
+    """Replace a JSON text column by its Variant at ``path``, parsed once per row.
+
+    The one-element generator keeps filters on parsed fields above it; pushed below a plain
+    projection they would parse the text again for every field they read.
+    """
+    parsed = parse(F.col(payload))
+    value = parsed if path == "$" else field(parsed, path)
+    kept = [c for c in df.columns if c != payload]
+    return df.select(*kept, F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def parse(payload: Column) -> Column:
     return F.try_parse_json(payload)
 
@@ -36,12 +48,15 @@ def is_string(v: Column) -> Column:
     return F.coalesce(type_name(v) == "STRING", F.lit(False))
 
 
-def optional_text(v: Column, path: str) -> Column:
+def text_of(f: Column) -> Column:
     """Trimmed text of a JSON string that is not blank; NULL for every other value."""
-    f = field(v, path)
     return F.when(is_string(f), blank_to_null(F.try_variant_get(f, "$", "string")))
 
 
+def optional_text(v: Column, path: str) -> Column:
+    return text_of(field(v, path))
+
+
 def any_text(v: Column, path: str) -> Column:
     """Text of any scalar, the way an untyped source field is read."""
     return F.try_variant_get(v, path, "string")

@@ -35,16 +35,14 @@ def _check_minimum(minimum: int) -> None:
         raise ValueError("minimum_characters must be a positive integer.")
 
 
-def article_body(html: Column, minimum_characters: int = MINIMUM_CHARACTERS) -> Column:
-    """Normalized main-body text of a page, NULL when shorter than ``minimum_characters``."""
-    _check_minimum(minimum_characters)
+def main_text(html: Column) -> Column:
+    """Normalized main-body text of a page ('' when there is none)."""
     body = F.regexp_extract(html, ARTICLE_ELEMENT, 1)
     for pattern in CUT_FROM_BODY:
         body = F.regexp_replace(body, pattern, " ")
     for entity, character in ENTITIES:
         body = F.replace(body, F.lit(entity), F.lit(character))
-    body = text.collapse_ws(body)
-    return F.when(F.length(body) >= minimum_characters, body)
+    return text.collapse_ws(body)
 
 
 def extract_articles(pages: DataFrame, minimum_characters: int = MINIMUM_CHARACTERS, extractor: Callable[..., str | None] | None = None) -> DataFrame:
@@ -53,9 +51,10 @@ def extract_articles(pages: DataFrame, minimum_characters: int = MINIMUM_CHARACT
     A supplied ``extractor(html, url=..., output_format='txt', include_comments=False,
     include_tables=False)`` runs in Python workers instead; a page it fails on has no body.
     """
-    if extractor is None:
-        return pages.withColumn("body", article_body(F.col("html"), minimum_characters)).drop("html")
     _check_minimum(minimum_characters)
+    enough = F.when(F.length("body") >= minimum_characters, F.col("body"))
+    if extractor is None:
+        return pages.withColumn("body", main_text(F.col("html"))).drop("html").withColumn("body", enough)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def one(html: str | None, url: str | None) -> str | None:
@@ -70,9 +69,8 @@ def extract_articles(pages: DataFrame, minimum_characters: int = MINIMUM_CHARACT
             batch["body"] = [one(h, u) for h, u in zip(batch["html"], batch["url"])]
             yield batch.drop(columns="html")
 
-    raw = pages.mapInPandas(run, pages.drop("html").withColumn("body", F.lit("").cast("string")).schema)
-    body = text.collapse_ws(F.col("body"))
-    return raw.withColumn("body", F.when(F.length(body) >= minimum_characters, body))
+    raw = pages.mapInPandas(run, pages.drop("html").withColumn("body", F.lit(None).cast("string")).schema)
+    return raw.withColumn("body", text.collapse_ws(F.col("body"))).withColumn("body", enough)
 
 
 def resolve_content(articles: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -160,7 +158,7 @@ def chunk_spans(normalized: str, size: int, overlap: int) -> list[tuple[int, int
 def chunk_articles(contents: DataFrame, text_column: str = "extracted_text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """(article_id, text) -> chunk rows. White space is normalized in the JVM, spans in Arrow batches."""
     check_chunk_settings(size, overlap)
-    normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text")).filter("_text <> ''")
+    normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text"))
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -54,25 +54,28 @@ class HashingModel:
         return out
 
 
-def embed(df: DataFrame, text_column: str, keys: Sequence[str], model_factory: ModelFactory = HashingModel, dimension: int = EMBEDDING_DIMENSION, output: str = "embedding") -> DataFrame:
+def embed(df: DataFrame, text_column: str, keys: Sequence[str], model_factory: ModelFactory = HashingModel, dimension: int = EMBEDDING_DIMENSION, output: str = "embedding", partitions: int | None = None) -> DataFrame:
     """(keys, text) -> (keys, vector). Blank text has no vector and is left out.
 
     The model is made once per task and sees Arrow batches of normalized text; a vector of the
-    wrong length or with a non-finite value fails the job.
+    wrong length or with a non-finite value fails the job. ``partitions`` spreads the rows evenly
+    by key first, worth its shuffle when the model costs more than moving the text.
     """
-    normalized = df.select(*keys, text.question_text(F.col(text_column)).alias("_text")).filter("_text IS NOT NULL")
+    normalized = df.select(*keys, text.collapse_ws(F.col(text_column)).alias("_text"))
+    if partitions is not None:
+        normalized = normalized.repartition(partitions, *keys)
     schema = T.StructType([*normalized.drop("_text").schema.fields, T.StructField(output, VECTOR, False)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()
         for batch in batches:
+            batch = batch[batch["_text"] != ""]
             if not len(batch):
                 continue
             made = np.asarray(model.encode(batch["_text"].tolist(), convert_to_numpy=True, normalize_embeddings=True))
             if made.shape != (len(batch), dimension) or not np.isfinite(made).all():
                 raise ValueError("The embedding model returned an unusable vector.")
-            batch[output] = list(made.astype("float32"))
-            yield batch.drop(columns="_text")
+            yield batch.drop(columns="_text").assign(**{output: list(made.astype("float32"))})
 
     return normalized.mapInPandas(run, schema)
 

@@ -28,7 +28,7 @@ def _first_reason(*checks: tuple[Column, str]) -> Column:
 
 def normalize_companies(payloads: DataFrame) -> DataFrame:
     """(ticker, payload) -> company rows; the requested ticker stands in for a missing one."""
-    src = payloads.withColumn("_r", variant.field(variant.parse(F.col("payload")), "$.results"))
+    src = variant.with_parsed(payloads, path="$.results")
     r = F.col("_r")
     own = F.nullif(variant.any_text(r, "$.ticker"), F.lit(""))
     list_date = F.nullif(variant.any_text(r, "$.list_date"), F.lit(""))
@@ -69,12 +69,13 @@ def normalize_price_bars(payloads: DataFrame, start: Column | None = None, end:
 
     ``start`` and ``end`` (dates or columns of ``payloads``) bound the bars, both inclusive.
     """
-    bars = payloads.select(
+    none = F.lit(None).cast("date")
+    bars = variant.with_parsed(payloads).select(
         text.normalize_ticker(F.col("ticker")).alias("ticker"),
-        (start if start is not None else F.lit(None).cast("date")).alias("_start"),
-        (end if end is not None else F.lit(None).cast("date")).alias("_end"),
-        F.posexplode(variant.array(variant.parse(F.col("payload")), "$.results")).alias("bar_pos", "_b"),
-    )
+        (start if start is not None else none).alias("_start"),
+        (end if end is not None else none).alias("_end"),
+        F.posexplode_outer(variant.array(F.col("_r"), "$.results")).alias("bar_pos", "_b"),
+    ).filter("bar_pos IS NOT NULL")
     b = F.col("_b")
     t = variant.number(b, "$.t", "double")
     out = bars.select(
@@ -105,7 +106,7 @@ def normalize_news(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``keep`` names payload-table columns (a request id, a sequence) to carry along.
     """
-    src = payloads.withColumn("_r", variant.parse(F.col("payload")))
+    src = variant.with_parsed(payloads)
     r = F.col("_r")
     publisher = variant.field(r, "$.publisher")
     published = F.nullif(variant.any_text(r, "$.published_utc"), F.lit(""))
@@ -129,36 +130,44 @@ def normalize_news(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         text.iso_timestamp(published).alias("published_at"),
         strings.alias("keywords"),
         F.when(variant.is_object(r), F.to_json(r)).otherwise("{}").alias("raw_source_payload"),
-        _relationships(r).alias("relationships"),
+        _listed_tickers(r).alias("_listed"),
+        _ticker_insights(r).alias("_insights"),
         published.isNotNull().alias("_dated"),
-    )
+    ).withColumn("relationships", _relationships(F.col("_listed"), F.col("_insights")))
     reason = _first_reason(
         (F.col("article_id").isNull(), "missing id"),
         (F.col("title").isNull(), "missing title"),
         (F.col("_dated") & F.col("published_at").isNull(), "invalid published_utc"),
     )
-    return out.withColumn("reject_reason", reason).drop("_dated")
+    return out.withColumn("reject_reason", reason).drop("_dated", "_listed", "_insights")
 
 
-def _relationships(r: Column) -> Column:
-    """tickers[] in order, then tickers named by insights only; the last insight of a ticker wins."""
-    listed = F.filter(
-        F.transform(
-            variant.array(r, "$.tickers"), lambda t: text.normalize_ticker(F.try_variant_get(t, "$", "string"))
-        ),
-        lambda t: t.isNotNull(),
+def _listed_tickers(r: Column) -> Column:
+    named = F.transform(
+        variant.array(r, "$.tickers"), lambda t: text.ticker_or_blank(F.try_variant_get(t, "$", "string"))
     )
-    insights = F.filter(
-        F.transform(
-            variant.array(r, "$.insights"),
-            lambda i: F.struct(
-                F.when(variant.is_object(i), text.normalize_ticker(variant.any_text(i, "$.ticker"))).alias("ticker"),
-                variant.optional_text(i, "$.sentiment").alias("sentiment"),
-                variant.optional_text(i, "$.sentiment_reasoning").alias("sentiment_reasoning"),
-            ),
+    return F.filter(named, lambda t: t != "")
+
+
+def _ticker_insights(r: Column) -> Column:
+    fields = "struct<ticker string, sentiment variant, sentiment_reasoning variant>"
+    objects = F.transform(variant.array(r, "$.insights"), lambda i: F.try_variant_get(i, "$", fields))
+    named = F.transform(
+        objects,
+        lambda i: F.struct(
+            text.ticker_or_blank(i["ticker"]).alias("ticker"),
+            variant.text_of(i["sentiment"]).alias("sentiment"),
+            variant.text_of(i["sentiment_reasoning"]).alias("sentiment_reasoning"),
         ),
-        lambda i: i["ticker"].isNotNull(),
     )
+    return F.filter(named, lambda i: i["ticker"] != "")
+
+
+def _relationships(listed: Column, insights: Column) -> Column:
+    """tickers[] in order, then tickers named by insights only; the last insight of a ticker wins.
+
+    Both inputs are columns of their own, so nothing is parsed again per element.
+    """
 
     def resolved(ticker: Column) -> Column:
         last = F.try_element_at(F.filter(insights, lambda i: i["ticker"] == ticker), F.lit(-1))
@@ -173,7 +182,8 @@ def _relationships(r: Column) -> Column:
 
 def article_ticker_rows(articles: DataFrame) -> DataFrame:
     """The (article_id, ticker) relationship rows of normalized articles."""
-    return articles.select("article_id", F.posexplode("relationships").alias("position", "_x")).select(
+    exploded = articles.select("article_id", F.posexplode_outer("relationships").alias("position", "_x"))
+    return exploded.filter("position IS NOT NULL").select(
         "article_id", "_x.ticker", "_x.sentiment", "_x.sentiment_reasoning", "position"
     )
 
@@ -203,11 +213,12 @@ def collect_pages(pages: DataFrame, max_results: int | None = None, max_pages: i
         raise ValueError("max_pages must be a positive integer.")
     if max_pages is not None:
         pages = pages.filter(F.col("page_no") <= max_pages)
-    v = variant.parse(F.col("payload"))
+    parsed = variant.with_parsed(pages)
+    v = F.col("_r")
     items = variant.field(v, "$.results")
     link = variant.field(v, "$.next_url")
     elements = variant.array(v, "$.results")
-    meta = pages.select(
+    meta = parsed.select(
         "request_id",
         "page_no",
         F.size(elements).alias("n"),
@@ -241,8 +252,9 @@ def collect_pages(pages: DataFrame, max_results: int | None = None, max_pages: i
     bad_requests = checked.filter("bad_page").select("request_id").distinct()
     good = checked.join(bad_requests, "request_id", "left_anti").select("request_id", "page_no", "offset")
     rows = (
-        pages.join(good, ["request_id", "page_no"])
-        .select("request_id", "page_no", "offset", F.posexplode(elements).alias("pos", "result"))
+        variant.with_parsed(pages.join(good, ["request_id", "page_no"]))
+        .select("request_id", "page_no", "offset", F.posexplode_outer(elements).alias("pos", "result"))
+        .filter("pos IS NOT NULL")
         .withColumn("result_no", F.col("offset") + F.col("pos") + 1)
     )
     if max_results is not None:

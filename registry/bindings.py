@@ -31,6 +31,13 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for CPU-heavy maps (JSON, regex chains, Python). The provided tables are one
+        file with one row group, a single task; a table of many files is read as it is."""
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
     # -- companies and prices
 
     def located_suppliers(self) -> DataFrame:
@@ -137,7 +144,7 @@ class Data:
     # -- documents
 
     def document_chunks(self, size: int = content.CHUNK_SIZE, overlap: int = content.CHUNK_OVERLAP) -> DataFrame:
-        docs = self.table("documents").select(text("doc_id").alias("article_id"), "text")
+        docs = self.spread("documents").select(text("doc_id").alias("article_id"), "text")
         return content.chunk_articles(docs, "text", size, overlap)
 
     def document_articles(self) -> DataFrame:

@@ -423,7 +423,7 @@ FROM (SELECT doc_id, text, trim(regexp_replace(text, '{WS}+', ' ', 'g')) AS t FR
 )
 def result_preview(d: Data) -> DataFrame:
     c = F.col("text")
-    return d.table("documents").select(
+    return d.spread("documents").select(
         "doc_id",
         tx.preview_line(c).alias("line"),
         tx.preview_line(c, 240).alias("passage"),
@@ -492,13 +492,13 @@ FROM (SELECT *, CASE WHEN ticker IS NULL THEN 'invalid ticker'
         WHEN 'recent_news' THEN CASE WHEN l BETWEEN 1 AND 100 THEN l END WHEN 'semantic_search' THEN CASE WHEN l >= 1 THEN least(l, 20) END END AS lim
     FROM (SELECT event_id AS request_id, CASE event_type WHEN 'view' THEN 'price_history' WHEN 'click' THEN 'news_search'
         WHEN 'error' THEN 'recent_news' WHEN 'signup' THEN 'semantic_search' ELSE 'agent' END AS tool,
-        CASE WHEN value > 90 THEN ' bad ticker' ELSE ' k' || user_id || ' ' END AS raw,
-        CASE WHEN value < 5 THEN ' ' WHEN value > 80 THEN repeat('why  ', 1300) ELSE ' why  ' || props END AS q,
+        CASE WHEN value BETWEEN 85 AND 90 THEN ' bad ticker' ELSE ' k' || user_id || ' ' END AS raw,
+        CASE WHEN value < 5 THEN ' ' WHEN value > 95 THEN repeat('why  ', 1300) ELSE ' why  ' || props END AS q,
         CAST(floor(value) AS BIGINT) AS l FROM events)))""",
 )
 def validate(d: Data) -> DataFrame:
     kind, value = F.col("event_type"), F.col("value")
-    requests = d.table("events").select(
+    requests = d.spread("events").select(
         F.col("event_id").alias("request_id"),
         F.when(kind == "view", "price_history")
         .when(kind == "click", "news_search")
@@ -506,9 +506,9 @@ def validate(d: Data) -> DataFrame:
         .when(kind == "signup", "semantic_search")
         .otherwise("agent")
         .alias("tool"),
-        F.when(value > 90, " bad ticker").otherwise(F.concat(F.lit(" k"), text("user_id"), F.lit(" "))).alias("ticker"),
+        F.when(value.between(85, 90), " bad ticker").otherwise(F.concat(F.lit(" k"), text("user_id"), F.lit(" "))).alias("ticker"),
         F.when(value < 5, " ")
-        .when(value > 80, F.repeat(F.lit("why  "), 1300))
+        .when(value > 95, F.repeat(F.lit("why  "), 1300))
         .otherwise(F.concat(F.lit(" why  "), F.col("props")))
         .alias("question"),
         F.floor(value).cast("long").alias("limit"),

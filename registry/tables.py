@@ -71,7 +71,7 @@ def normalize_price_bars(d: Data) -> DataFrame:
     good = F.to_json(F.struct(epoch_ms("ts").alias("t"), F.col("value").alias("c"), F.col("user_id").alias("v")))
     bad = F.to_json(F.struct(F.col("event_type").alias("t"), F.col("user_id").alias("v")))
     payload = F.concat(F.lit('{"results":['), good, F.lit(","), bad, F.lit("]}"))
-    rows = d.table("events").select(
+    rows = d.spread("events").select(
         F.concat(F.lit(" k"), F.get_json_object("props", "$.k")).alias("ticker"), payload.alias("payload")
     )
     return landed.normalize_price_bars(rows).select("ticker", "bar_pos", "price_date", "close", "volume", "reject_reason")
@@ -115,7 +115,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS article_id, CASE WHEN o_orderstatus <> 'P'
 FROM orders""",
 )
 def normalize_news(d: Data) -> DataFrame:
-    out = landed.normalize_news(d.table("orders").select(news_payload().alias("payload")))
+    out = landed.normalize_news(d.spread("orders").select(news_payload().alias("payload")))
     return out.select(
         "article_id", "title", "description", "publisher", "article_url",
         F.col("published_at").cast("timestamp_ntz").alias("published_at"),
@@ -148,7 +148,7 @@ UNION ALL SELECT article_id, 'P' || l_partkey, NULL, NULL, 1 FROM lines WHERE re
 UNION ALL SELECT article_id, 'Q' || l_linenumber, 'mixed', l_returnflag, CASE WHEN regexp_matches('P' || l_partkey, '{TICKER}') THEN 2 ELSE 1 END FROM lines""",
 )
 def news_ticker_relationships(d: Data) -> DataFrame:
-    articles = landed.normalize_news(d.table("lineitem").select(relationship_payload().alias("payload")))
+    articles = landed.normalize_news(d.spread("lineitem").select(relationship_payload().alias("payload")))
     return landed.article_ticker_rows(landed.accepted(articles))
 
 
@@ -173,7 +173,7 @@ def paged_results(d: Data) -> DataFrame:
     items = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("line")))
     size = F.length("text")
     link = F.when(size % 11 != 0, F.concat(F.lit("next-"), text(size % 40)))
-    pages = d.table("conversations").select(
+    pages = d.spread("conversations").select(
         F.col("conv_id").alias("request_id"),
         (F.col("turn") + 1).alias("page_no"),
         F.to_json(F.struct(items.alias("results"), link.alias("next_url"))).alias("payload"),
@@ -238,7 +238,7 @@ def refresh_summary(d: Data) -> DataFrame:
         F.concat(F.lit("S"), text("s_suppkey")).alias("ticker"),
         F.date_add(F.lit("1999-03-01").cast("date"), F.col("s_nationkey")).alias("as_of"),
     )
-    line = d.table("lineitem").withColumn("ticker", F.concat(F.lit("S"), text("l_suppkey")))
+    line = d.spread("lineitem").withColumn("ticker", F.concat(F.lit("S"), text("l_suppkey")))
     noon = epoch_ms("l_shipdate") + F.lit(15 * 3_600_000)
     bars = line.select(
         "ticker", F.to_json(F.struct(F.array(F.struct(noon.alias("t"), F.col("l_extendedprice").alias("c"))).alias("results"))).alias("payload")
