@@ -280,7 +280,7 @@ class _Best:
 def fit_cells(chunks: DataFrame, cells: int = 16, seed: int = 7) -> KMeansModel:
     """Vector cells for approximate search; the model is ``cells`` centroids."""
     features = _embedded(chunks).select(array_to_vector(_unit_column(F.col("embedding"))).alias("features"))
-    return KMeans(k=cells, seed=seed, maxIter=8, featuresCol="features").fit(features)
+    return KMeans(k=cells, seed=seed, initMode="random", maxIter=6, featuresCol="features").fit(features)
 
 
 def search_batch_approximate(requests: DataFrame, chunks: DataFrame, model: KMeansModel, top_k: int = 5, probes: int = 4) -> DataFrame:

@@ -1,8 +1,8 @@
 """Keyed table maintenance as ``(current, changes) -> next`` functions over whole tables.
 
 Change feeds carry an explicit, total write order (``seq``): the last write of a key wins, and a
-NULL in it overwrites. All reductions are grouped aggregates or anti joins, so a key that holds a
-third of the feed is reduced on the map side before it is shuffled.
+NULL in it overwrites. Reductions keep one row per key and task before they shuffle, so a key that
+holds a third of the feed arrives as a few rows; the rest are anti joins on distinct keys.
 """
 
 from __future__ import annotations
@@ -17,20 +17,18 @@ ID_BUCKET_DIGITS = 4  # 16**4 id buckets
 
 def last_write(changes: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """One row per key: the one written last."""
-    return _pick(changes, keys, seq, F.max_by)
+    return _first_by(changes, keys, [F.col(c).desc() for c in seq])
 
 
 def first_write(changes: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """One row per key: the one written first."""
-    return _pick(changes, keys, seq, F.min_by)
+    return _first_by(changes, keys, [F.col(c).asc() for c in seq])
 
 
-def _pick(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], pick) -> DataFrame:
-    rest = [c for c in changes.columns if c not in keys]
-    if not rest:
-        return changes.distinct()
-    row = pick(F.struct(*rest), F.struct(*seq))
-    return changes.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
+def _first_by(changes: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    # the planner keeps one row per key and task before the shuffle (WindowGroupLimit)
+    number = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    return changes.withColumn("_rn", number).filter("_rn = 1").drop("_rn")
 
 
 def upsert(

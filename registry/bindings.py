@@ -6,9 +6,14 @@ no binding drops rows to be cheap.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketloom.operators import content, state
+from marketloom.session import shared_dir
+from marketloom.sources.tables import write_new
 
 AS_OF = "2026-01-02 03:04:05"
 HELD_SINCE = "2023-12-01 00:00:00"
@@ -22,6 +27,10 @@ def text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+# (application, scale directory, table) -> where this application stored it
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class Data:
     """The tables of one scale directory."""
 
@@ -36,7 +45,17 @@ class Data:
         file with one row group, a single task; a table of many files is read as it is."""
         df = self.table(name)
         cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+        return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
+
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A keyed engine table, written once per application to the shared folder and scanned
+        from there: its readers prune columns instead of reducing the raw feed again."""
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _STORED:
+            path = f"{shared_dir(self.spark)}/marketloom/{uuid.uuid4().hex}/{name}"
+            write_new(build(), path)
+            _STORED[key] = path
+        return self.spark.read.parquet(_STORED[key])
 
     # -- companies and prices
 
@@ -60,7 +79,7 @@ class Data:
 
     def company_feed(self) -> DataFrame:
         """Every line re-sends its supplier's company record, in (seq1..seq5) order."""
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.concat(F.lit("Supplier at line "), text("l_linenumber")).alias("name"),
             F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("industry"),
@@ -72,7 +91,7 @@ class Data:
 
     def price_feed(self) -> DataFrame:
         """One bar per line, duplicates per (ticker, price_date); the last by seq1..seq3 wins."""
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.col("l_shipdate").cast("date").alias("price_date"),
             F.col("l_extendedprice").cast("decimal(20,6)").alias("close"),
@@ -84,14 +103,17 @@ class Data:
         )
 
     def prices(self) -> DataFrame:
-        feed = self.price_feed().drop("line_status")
-        return state.last_write(feed, ["ticker", "price_date"], ["seq1", "seq2", "seq3"]).drop("seq1", "seq2", "seq3")
+        def build() -> DataFrame:
+            seq = ["seq1", "seq2", "seq3"]
+            return state.last_write(self.price_feed().drop("line_status"), ["ticker", "price_date"], seq).drop(*seq)
+
+        return self.stored("price_snapshots", build)
 
     # -- articles
 
     def articles(self) -> DataFrame:
         low = F.col("o_orderpriority") == "5-LOW"
-        return self.table("orders").select(
+        return self.spread("orders").select(
             text("o_orderkey").alias("article_id"),
             F.concat(F.lit("Order "), text("o_orderkey")).alias("title"),
             F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("Customer "), text("o_custkey"))).alias("description"),
@@ -102,7 +124,7 @@ class Data:
 
     def article_ticker_feed(self) -> DataFrame:
         flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             text("l_orderkey").alias("article_id"),
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.when(flag == "R", "negative").when(flag == "A", "neutral").alias("sentiment"),
@@ -113,8 +135,11 @@ class Data:
         )
 
     def article_tickers(self) -> DataFrame:
-        feed = self.article_ticker_feed().drop("line_status")
-        return state.last_write(feed, ["article_id", "ticker"], ["seq1", "seq2", "seq3"]).drop("seq1", "seq2", "seq3")
+        def build() -> DataFrame:
+            seq = ["seq1", "seq2", "seq3"]
+            return state.last_write(self.article_ticker_feed().drop("line_status"), ["article_id", "ticker"], seq).drop(*seq)
+
+        return self.stored("news_article_tickers", build)
 
     def chunks(self) -> DataFrame:
         """Five chunks per article; label 0 plays "not embedded yet"."""

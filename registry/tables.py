@@ -316,7 +316,7 @@ UNION ALL SELECT article_id, title, description, published_at, NULL FROM b_artic
 )
 def upsert_articles(d: Data) -> DataFrame:
     """Every line re-sends its order's article, with a NULL description where it was not returned."""
-    feed = d.table("lineitem").select(
+    feed = d.spread("lineitem").select(
         text("l_orderkey").alias("article_id"),
         F.concat(F.lit("Line "), text("l_linenumber")).alias("title"),
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("description"),
