@@ -86,10 +86,11 @@ def bounded_text(c: Column, maximum: int) -> Column:
     return F.when(F.length(t) <= maximum, t)
 
 
-def bounded_text_error(c: Column, field: str, maximum: int) -> Column:
-    t = blank_to_null(c)
-    return F.when(t.isNull(), F.lit(f"{field} cannot be blank.")).when(
-        F.length(t) > maximum, F.lit(f"{field} must be at most {maximum} characters.")
+def bounded_text_error(trimmed: Column, field: str, maximum: int) -> Column:
+    """Why a trimmed text is refused, NULL where it is not."""
+    length = F.coalesce(F.length(trimmed), F.lit(0))
+    return F.when(length == 0, F.lit(f"{field} cannot be blank.")).when(
+        length > maximum, F.lit(f"{field} must be at most {maximum} characters.")
     )
 
 
@@ -116,7 +117,7 @@ def iso_date(c: Column) -> Column:
 
 def iso_timestamp(c: Column) -> Column:
     """ISO timestamp that carries a zone; NULL where it is malformed or has none."""
-    t = F.regexp_replace(c, "Z", "+00:00")
+    t = F.replace(c, F.lit("Z"), F.lit("+00:00"))
     zoned = t.rlike(r"\A\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?[+-]\d{2}:\d{2}\z")
     return F.when(zoned, t.try_cast("timestamp"))
 

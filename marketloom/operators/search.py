@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -26,8 +26,8 @@ from marketloom.functions.vectors import DISTANCE_DECIMALS, cosine_distance, sim
 KEYS = ["article_id", "chunk_index"]
 EVERYWHERE = "*"
 MAX_PER_ARTICLE = 2
-# Questions are copied to every task only up to this many vector values (64 MB as doubles).
-MAX_COPIED_VALUES = 8_000_000
+# Questions are copied to every task only up to this many (60 MB of 384-value double vectors).
+MAX_COPIED_QUESTIONS = 20_000
 # Beyond it both sides are cut into blocks of these many rows that meet block by block.
 QUESTION_BLOCK = 20_000
 CHUNK_BLOCK = 100_000
@@ -158,11 +158,10 @@ def _best_per_task(copied, vectors: DataFrame, k: int) -> DataFrame:
 
 def _copied_questions(requests: DataFrame):
     """The questions as a broadcast variable, or None when they are too many to copy."""
-    size = requests.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query")).alias("dim")).first()
-    if size["n"] * max(size["dim"] or 0, 1) > MAX_COPIED_VALUES:
+    few = requests.limit(MAX_COPIED_QUESTIONS + 1).toArrow()
+    if few.num_rows > MAX_COPIED_QUESTIONS:
         return None
-    questions = _question_columns(requests.toArrow().to_pandas())  # size checked above
-    return requests.sparkSession.sparkContext.broadcast(questions)
+    return requests.sparkSession.sparkContext.broadcast(_question_columns(few.to_pandas()))
 
 
 def _best_per_block(requests: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
@@ -233,26 +232,32 @@ class _Best:
                 continue
             step = max(1, SCORE_CELLS // len(asked))
             for at in range(0, len(members), step):
-                found.append(self._nearest(scope, asked, members[at : at + step], unit, rows))
-        self._keep(pd.concat([f for f in [self.kept, *found] if len(f)] or [self.kept]))
+                part = members[at : at + step]
+                q, m, distance = self._nearest(asked, unit[part])
+                found.append((asked[q], part[m], distance, np.full(len(q), scope, dtype=object)))
+        if not found:
+            return
+        q, m, distance, scopes = (np.concatenate(c) for c in zip(*found))
+        new = pd.DataFrame(
+            {
+                "q": q,
+                "scope": scopes,
+                "article_id": rows["article_id"].to_numpy()[m],
+                "chunk_index": rows["chunk_index"].to_numpy()[m],
+                "distance": distance,
+            }
+        )
+        self._keep(pd.concat([self.kept, new]) if len(self.kept) else new)
 
-    def _nearest(self, scope: str, asked: np.ndarray, members: np.ndarray, unit: np.ndarray, rows: pd.DataFrame) -> pd.DataFrame:
-        d = np.round(1.0 - self.questions.unit[asked] @ unit[members].T, DISTANCE_DECIMALS)
+    def _nearest(self, asked: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions and distances that may still be among the k nearest of a question."""
+        d = np.round(1.0 - self.questions.unit[asked] @ unit.T, DISTANCE_DECIMALS)
         d = np.where(np.isnan(d), np.inf, d)
         cut = self.bound[asked]
-        if len(members) > self.k:
+        if len(unit) > self.k:
             cut = np.minimum(cut, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
         q, m = np.nonzero(d <= cut[:, None])  # ties with the k-th stay in
-        source = rows.iloc[members[m]]
-        return pd.DataFrame(
-            {
-                "q": asked[q],
-                "scope": scope,
-                "article_id": source["article_id"].to_numpy(),
-                "chunk_index": source["chunk_index"].to_numpy(),
-                "distance": d[q, m],
-            }
-        )
+        return q, m, d[q, m]
 
     def _keep(self, rows: pd.DataFrame) -> None:
         rows = rows.sort_values(["q", "distance", "article_id", "chunk_index"], kind="stable")
@@ -277,38 +282,33 @@ class _Best:
 # ---------------------------------------------------------------- approximate
 
 
-def fit_cells(chunks: DataFrame, cells: int = 16, seed: int = 7) -> KMeansModel:
-    """Vector cells for approximate search; the model is ``cells`` centroids."""
-    features = _embedded(chunks).select(array_to_vector(_unit_column(F.col("embedding"))).alias("features"))
-    return KMeans(k=cells, seed=seed, initMode="random", maxIter=6, featuresCol="features").fit(features)
+def fit_cells(chunks: DataFrame, cells: int = 16, seed: int = 7) -> np.ndarray:
+    """Centers of the vector cells for approximate search, one row per cell."""
+    vectors = _embedded(chunks).filter(F.exists("embedding", lambda x: x != 0))
+    features = vectors.select(array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
+    means = KMeans(k=cells, seed=seed, initMode="random", maxIter=6, distanceMeasure="cosine")
+    return np.array(means.fit(features).clusterCenters())
 
 
-def search_batch_approximate(requests: DataFrame, chunks: DataFrame, model: KMeansModel, top_k: int = 5, probes: int = 4) -> DataFrame:
+def search_batch_approximate(requests: DataFrame, chunks: DataFrame, centers: np.ndarray, top_k: int = 5, probes: int = 4) -> DataFrame:
     """Like ``search_batch``, but a question sees only the chunks in its ``probes`` nearest cells."""
-    vectors = _embedded(chunks).withColumn("features", array_to_vector(_unit_column(F.col("embedding"))))
-    placed = model.setFeaturesCol("features").setPredictionCol("cell").transform(vectors)
-    placed = placed.select(*KEYS, "embedding", F.array(F.col("cell").cast("string")).alias("scopes"))
-    asked = requests.withColumn("scopes", _nearest_cells(model, F.col("query"), probes)).select(
-        "request_id", "query", "scopes"
-    )
-    return _ranked(asked, placed, clamp_top_k(top_k))[0].drop("scope")
+    vectors = _embedded(chunks).withColumn("scopes", _nearest_cells(centers, 1)(F.col("embedding")))
+    asked = requests.select("request_id", "query", _nearest_cells(centers, probes)(F.col("query")).alias("scopes"))
+    return _ranked(asked, vectors, clamp_top_k(top_k))[0].drop("scope")
 
 
-def _unit_column(v: Column) -> Column:
-    d = F.transform(v, lambda x: x.cast("double"))
-    norm = F.sqrt(F.aggregate(d, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(d, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)))
+def _nearest_cells(centers: np.ndarray, count: int):
+    """Arrow-batched column function: the ``count`` cells nearest to a vector."""
+    unit_centers = _unit_rows(centers)
 
+    @F.pandas_udf("array<string>")
+    def cells(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        closeness = np.nan_to_num(_unit_rows(v) @ unit_centers.T)
+        return pd.Series([[str(c) for c in row] for row in np.argsort(-closeness, axis=1, kind="stable")[:, :count]])
 
-def _nearest_cells(model: KMeansModel, query: Column, probes: int) -> Column:
-    unit = _unit_column(query)
-    distances = []
-    for cell, center in enumerate(model.clusterCenters()):
-        fixed = F.lit([float(x) for x in center])
-        squared = F.aggregate(F.zip_with(unit, fixed, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-        distances.append(F.struct(squared.alias("d"), F.lit(str(cell)).alias("cell")))
-    ordered = F.array_sort(F.array(*distances))
-    return F.transform(F.slice(ordered, 1, probes), lambda x: x["cell"])
+    return cells
 
 
 # ---------------------------------------------------------------- evidence

@@ -14,26 +14,28 @@ MAX_NOTE, MAX_TITLE, MAX_REPORT = 5000, 200, 20000
 
 
 def _checked(actions: DataFrame, fields: dict[str, tuple[str, int]]) -> DataFrame:
-    errors = [
-        F.when(text.normalize_email(F.col("user_email")).isNull(), F.lit("invalid email")),
-        F.when(text.normalize_ticker(F.col("ticker")).isNull(), F.lit("invalid ticker")),
-        *[text.bounded_text_error(F.col(c), label, maximum) for c, (label, maximum) in fields.items()],
-    ]
-    return actions.withColumn("reason", F.coalesce(*errors)).withColumns(
+    """Normalized columns plus ``reason``; texts are trimmed in a projection of their own, once."""
+    trimmed = actions.withColumns(
         {
             "email": text.normalize_email(F.col("user_email")),
             "ticker": text.normalize_ticker(F.col("ticker")),
-            **{c: text.bounded_text(F.col(c), maximum) for c, (_, maximum) in fields.items()},
+            **{c: text.trim_ws(F.col(c)) for c in fields},
         }
     )
+    errors = [F.when(F.col("email").isNull(), F.lit("invalid email"))]
+    errors.append(F.when(F.col("ticker").isNull(), F.lit("invalid ticker")))
+    errors += [text.bounded_text_error(F.col(c), label, maximum) for c, (label, maximum) in fields.items()]
+    return trimmed.withColumn("reason", F.coalesce(*errors))
 
 
 def _save(users: DataFrame, actions: DataFrame, fields: dict[str, tuple[str, int]], seq: Sequence[str], as_of: Column, start: Column | None):
     checked = _checked(actions, fields)
     sound = checked.filter("reason IS NULL")
-    all_users = state.get_or_create_users(users, sound, as_of)
-    owned = sound.join(all_users.select(F.col("id").alias("user_id"), "email"), "email")
-    saved = state.with_new_ids(owned, seq, start).select(
+    # owners and ids are found for the keys alone; the texts join them once
+    narrow = sound.select(*seq, "email")
+    all_users = state.get_or_create_users(users, narrow, as_of)
+    owned = narrow.join(all_users.select(F.col("id").alias("user_id"), "email"), "email").drop("email")
+    saved = sound.join(state.with_new_ids(owned, seq, start), list(seq)).select(
         "id", "user_id", "ticker", *fields, as_of.alias("created_at"), as_of.alias("updated_at")
     )
     rejects = checked.filter("reason IS NOT NULL").select(*seq, "reason")

@@ -89,9 +89,9 @@ class Data:
             F.col("l_extendedprice").alias("seq5"),
         )
 
-    def price_feed(self) -> DataFrame:
+    def price_feed(self, lines: DataFrame | None = None) -> DataFrame:
         """One bar per line, duplicates per (ticker, price_date); the last by seq1..seq3 wins."""
-        return self.spread("lineitem").select(
+        return (self.spread("lineitem") if lines is None else lines).select(
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.col("l_shipdate").cast("date").alias("price_date"),
             F.col("l_extendedprice").cast("decimal(20,6)").alias("close"),

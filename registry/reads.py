@@ -297,8 +297,8 @@ def semantic_search_batch(d: Data) -> DataFrame:
 
 @query("approx_semantic_search")
 def approx_semantic_search(d: Data) -> DataFrame:
-    model = search.fit_cells(d.chunks())
-    hits = search.search_batch_approximate(d.requests(), d.chunks(), model, 8)
+    centers = search.fit_cells(d.chunks())
+    hits = search.search_batch_approximate(d.requests(), d.chunks(), centers, 8)
     return hits.select("request_id", "article_id", "chunk_index", r6("distance").alias("distance"), "rank")
 
 

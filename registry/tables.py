@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketloom.functions import dates, variant
 from marketloom.operators import reads, state
 from marketloom.plans import actions as act, refresh
+from marketloom.session import shared_dir
 from marketloom.sources import landed
+from marketloom.streaming import ingest
 from registry.bindings import AS_OF, Data, as_of, text, with_ctes
 from registry.catalog import joined, query
 
@@ -283,23 +287,42 @@ def upsert_companies(d: Data) -> DataFrame:
     return state.upsert(current, d.company_feed(), ["ticker"], ["seq1", "seq2", "seq3", "seq4", "seq5"], "updated_at", as_of())
 
 
-@query(
-    "upsert_prices",
-    with_ctes(
-        "b_price_feed",
-        f"""
+PRICES_SQL = with_ctes(
+    "b_price_feed",
+    f"""
 SELECT ticker, price_date, close, volume, CASE line_status WHEN 'O' THEN {STAMP} END AS fetched_at FROM b_price_feed
 QUALIFY row_number() OVER (PARTITION BY ticker, price_date ORDER BY line_status DESC, seq1 DESC, seq2 DESC, seq3 DESC) = 1""",
-    ),
 )
-def upsert_prices(d: Data) -> DataFrame:
+
+
+def finished_prices(d: Data) -> DataFrame:
     """Finished lines are the current table, open lines the incoming bars."""
     keys, seq = ["ticker", "price_date"], ["seq1", "seq2", "seq3"]
-    feed = d.price_feed()
-    current = state.last_write(feed.filter("line_status = 'F'"), keys, seq).select(
+    return state.last_write(d.price_feed().filter("line_status = 'F'"), keys, seq).select(
         *keys, "close", "volume", F.lit(None).cast("timestamp_ntz").alias("fetched_at")
     )
-    return state.upsert(current, feed.filter("line_status = 'O'"), keys, seq, "fetched_at", as_of())
+
+
+@query("upsert_prices", PRICES_SQL)
+def upsert_prices(d: Data) -> DataFrame:
+    incoming = d.price_feed().filter("line_status = 'O'")
+    return state.upsert(
+        finished_prices(d), incoming, ["ticker", "price_date"], ["seq1", "seq2", "seq3"], "fetched_at", as_of()
+    )
+
+
+@query("stream_upsert_prices", PRICES_SQL)
+def stream_upsert_prices(d: Data) -> DataFrame:
+    """The same upsert, with the lines arriving as a stream of files."""
+    keys, seq = ["ticker", "price_date"], ["seq1", "seq2", "seq3"]
+    stream = (
+        d.spark.readStream.schema(d.table("lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(d.dir)
+    )
+    changes = d.price_feed(stream).filter("line_status = 'O'")
+    run = f"{shared_dir(d.spark)}/marketloom/{uuid.uuid4().hex}/stream"
+    ingest.start_change_log(changes, f"{run}/log", f"{run}/checkpoint").awaitTermination()
+    log = ingest.read_change_log(d.spark, f"{run}/log", changes)
+    return ingest.apply_change_log(finished_prices(d), log, keys, seq, "fetched_at", as_of())
 
 
 @query(
@@ -482,7 +505,7 @@ UNION ALL SELECT 'rejected', NULL, NULL, NULL, NULL, reason FROM checked WHERE r
     ),
 )
 def save_notes(d: Data) -> DataFrame:
-    notes = d.table("conversations").select(
+    notes = d.spread("conversations").select(
         F.when(F.col("role") == "system", F.col("role"))
         .otherwise(F.concat(F.lit("N"), text("conv_id"), F.lit("@example.com")))
         .alias("user_email"),
@@ -521,7 +544,7 @@ UNION ALL SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, reason FROM checked W
     ),
 )
 def save_reports(d: Data) -> DataFrame:
-    reports = d.table("documents").select(
+    reports = d.spread("documents").select(
         F.concat(F.lit("R"), F.col("source"), F.lit("@Example.com")).alias("user_email"),
         F.lit("d").alias("ticker"),
         F.when(F.col("lang") == "es", F.left("text", F.lit(201))).otherwise(F.left("text", F.lit(150))).alias("title"),
