@@ -156,7 +156,7 @@ def chunk_spans(normalized: str, size: int, overlap: int) -> list[tuple[int, int
 
 
 def chunk_articles(contents: DataFrame, text_column: str = "extracted_text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """(article_id, text) -> chunk rows. White space is normalized in the JVM, spans in Arrow batches."""
+    """(article_id, text) -> chunk rows, none for blank text. White space is normalized in the JVM, spans in Arrow batches."""
     check_chunk_settings(size, overlap)
     normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text"))
 
@@ -168,7 +168,8 @@ def chunk_articles(contents: DataFrame, text_column: str = "extracted_text", siz
                 ids += [article_id] * len(parts)
                 numbers += range(len(parts))
                 pieces += parts
-            yield pd.DataFrame({"article_id": ids, "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces})
+            if ids:
+                yield pd.DataFrame({"article_id": ids, "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces})
 
     return normalized.mapInPandas(split, CHUNK_SCHEMA)
 
