@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketloom.functions import text
 from marketloom.schemas import TABLES
 
 # The messages a failing summary is reported with.
@@ -59,6 +60,19 @@ def row_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
     )
 
 
+def split_tickers(df: DataFrame, column: str = "ticker") -> tuple[DataFrame, DataFrame]:
+    """(rows with a valid, normalized ticker, rows without)."""
+    valid = text.normalize_ticker(F.col(column))
+    return df.filter(valid.isNotNull()).withColumn(column, valid), df.filter(valid.isNull())
+
+
+def require_tickers(df: DataFrame, column: str = "ticker") -> DataFrame:
+    """Normalized tickers; one invalid ticker fails the whole batch when it is written."""
+    valid = text.normalize_ticker(F.col(column))
+    checked = F.when(valid.isNotNull(), valid).otherwise(F.raise_error(F.lit("The batch holds an invalid ticker.")))
+    return df.withColumn(column, checked)
+
+
 def not_upper(column: str) -> Column:
     return F.col(column) != F.upper(column)
 

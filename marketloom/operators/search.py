@@ -30,7 +30,7 @@ MAX_PER_ARTICLE = 2
 MAX_COPIED_QUESTIONS = 20_000
 # Beyond it both sides are cut into blocks of these many rows that meet block by block.
 QUESTION_BLOCK = 20_000
-CHUNK_BLOCK = 100_000
+CHUNK_BLOCK = 50_000
 SCORE_CELLS = 4_000_000  # size of one in-memory score matrix
 
 HITS_SCHEMA = T.StructType(

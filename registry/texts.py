@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketloom.functions import text as tx, vectors
-from marketloom.operators import content, embed, state
+from marketloom.operators import content, embed, search, state
+from marketloom.plans import questions
 from marketloom.schemas import EMBEDDING_DIMENSION
 from registry.bindings import Data, chunk_cte, text, with_ctes
 from registry.catalog import query
@@ -376,6 +377,42 @@ def embed_queries(d: Data) -> DataFrame:
     return made.select("item_id", millionths("embedding").alias("embedding"))
 
 
+@query(
+    "semantic_search_service",
+    with_ctes(
+        "",
+        f"""
+, vectors AS (SELECT article_id, chunk_index, list_transform(string_split(embedding, ','), lambda x : CAST(x AS DOUBLE)) AS v FROM (
+  {hash_vector_sql("article_id, chunk_index", "SELECT article_id, chunk_index, chunk_text AS t FROM doc_chunks")})),
+questions AS (SELECT item_id, list_transform(string_split(embedding, ','), lambda x : CAST(x AS DOUBLE)) AS q FROM (
+  {hash_vector_sql("item_id", f"SELECT item_id, {collapse_sql('text')} AS t FROM benchmark")}))
+SELECT item_id, article_id, chunk_index, CAST(rank AS INTEGER) AS rank, round(d, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY d, article_id, chunk_index) AS rank FROM (
+    SELECT item_id, article_id, chunk_index, round(list_cosine_distance(v, q), 12) AS d FROM questions, vectors))
+WHERE rank <= 5""",
+        chunk_cte("doc_chunks", DOC_SOURCE, 1200, 200),
+    ),
+)
+def semantic_search_service(d: Data) -> DataFrame:
+    """Every benchmark text as a question over the embedded chunks of all documents.
+
+    Weights are cut to millionths so that both engines rank the same numbers.
+    """
+
+    def cut(df: DataFrame) -> DataFrame:
+        weights = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000))
+        return df.withColumn("embedding", weights)
+
+    keys = ["article_id", "chunk_index"]
+    chunks = cut(embed.embed(d.document_chunks(), "chunk_text", keys))
+    asked = d.table("benchmark").select(F.col("item_id").alias("request_id"), F.col("text").alias("question"))
+    vectors_of = questions.embed_questions(asked).withColumnRenamed("query", "embedding")
+    hits = search.search_batch(cut(vectors_of).withColumnRenamed("embedding", "query"), chunks, 5)
+    return hits.select(
+        F.col("request_id").alias("item_id"), "article_id", "chunk_index", "rank", F.round("distance", 6).alias("distance")
+    )
+
+
 @query(
     "embed_run_metrics",
     with_ctes(

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import search
-from marketloom.plans import context, requests as rq
+from marketloom.operators import embed, search
+from marketloom.plans import context, questions, requests as rq
 
 SCHEMA = "article_id string, chunk_index int, chunk_text string, embedding array<float>"
 
@@ -146,3 +146,17 @@ def test_request_validation(spark):
     got_rows = {r.request_id: (r["limit"], r.error_message) for r in rq.validate_requests(df).collect()}
     assert got_rows == {1: (90, None), 2: (None, "limit out of bounds"), 3: (None, "limit out of bounds"), 4: (20, None), 5: (1, "blank question"),
                         6: (None, "limit out of bounds"), 7: (None, "question too long"), 8: (None, "invalid ticker"), 9: (None, None)}
+
+
+def test_text_questions_find_their_own_chunk(spark):
+    rows = [(f"a{i}", 0, f"alpha{i} beta{i} gamma") for i in range(30)]
+    texts = spark.createDataFrame(rows, "article_id string, chunk_index int, chunk_text string")
+    chunks = texts.join(embed.embed(texts, "chunk_text", ["article_id", "chunk_index"]), ["article_id", "chunk_index"])
+    links = spark.createDataFrame([(f"a{i}", "X" if i < 9 else "Y", None, None) for i in range(30)],
+                                  "article_id string, ticker string, sentiment string, sentiment_reasoning string")
+    asked = spark.createDataFrame([(1, "x", " alpha3  beta3 "), (2, "y", "beta3 alpha12"), (3, "bad ticker", "q"), (4, "x", " ")],
+                                  "request_id long, ticker string, question string")
+    every = questions.semantic_news_search(asked.filter("request_id = 1"), chunks, 1).first()
+    assert (every.article_id, every.rank) == ("a3", 1)
+    bound = {r.request_id: r.article_id for r in questions.semantic_news_search(asked, chunks, 1, links).collect()}
+    assert bound == {1: "a3", 2: "a12"}

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import quality, state
@@ -142,3 +143,12 @@ def test_streamed_upserts_equal_batch_and_replay_is_harmless(spark, tmp_path):
     ingest.start_change_log(spark.readStream.schema(schema).parquet(src), log, ckpt).awaitTermination()
     nxt = ingest.apply_change_log(cur, ingest.read_change_log(spark, log, like), ["k"], ["seq"])
     assert rows(nxt, "k", "v") == [("A", 2), ("B", 7), ("C", 5), ("Z", 9)]
+
+
+def test_lenient_and_strict_tickers(spark):
+    df = spark.createDataFrame([(" aapl",), ("bad ticker",), (None,)], "ticker string")
+    good, bad = quality.split_tickers(df)
+    assert rows(good, "ticker") == [("AAPL",)] and bad.count() == 2
+    assert rows(quality.require_tickers(df.limit(1)), "ticker") == [("AAPL",)]
+    with pytest.raises(Exception, match="invalid ticker"):
+        quality.require_tickers(df).collect()
