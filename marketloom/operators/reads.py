@@ -19,6 +19,18 @@ def latest_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= limit)
 
 
+# A ticker list is copied to every task only up to this many (well under 10 MB).
+MAX_COPIED_TICKERS = 200_000
+
+
+def few_tickers(tickers: DataFrame) -> DataFrame | None:
+    """The distinct tickers marked for copying when they are few enough, else None (counted, not guessed)."""
+    distinct = tickers.select("ticker").distinct()
+    if distinct.limit(MAX_COPIED_TICKERS + 1).count() > MAX_COPIED_TICKERS:
+        return None
+    return F.broadcast(distinct)
+
+
 def company_lookup(requests: DataFrame, companies: DataFrame) -> DataFrame:
     """requests(request_id, ticker) -> one envelope row each: ok, not_found or validation_error."""
     fields = ["name", "description", "market_cap", "industry", "exchange"]
@@ -84,10 +96,7 @@ def recent_news(articles: DataFrame, article_tickers: DataFrame, limit: int = 25
     dated = article_tickers.join(articles.select("article_id", "published_at"), "article_id")
     ranked = latest_rows(dated, ["ticker"], newest_first(), limit).drop("published_at")
     rows = ranked.join(articles, "article_id")
-    if not related:
-        return rows
-    shown = article_tickers.join(ranked.select("article_id").distinct(), "article_id", "left_semi")
-    return with_related_tickers(rows, shown)
+    return with_related_tickers(rows, article_tickers) if related else rows
 
 
 def watchlist_listing(watchlists: DataFrame, tickers: DataFrame) -> DataFrame:

@@ -22,12 +22,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from marketloom.functions.text import MAX_TOP_K
 from marketloom.functions.vectors import DISTANCE_DECIMALS, cosine_distance, similarity
+from marketloom.operators.reads import with_related_tickers
+from marketloom.session import materialize
 
 KEYS = ["article_id", "chunk_index"]
 EVERYWHERE = "*"
 MAX_PER_ARTICLE = 2
 # Questions are copied to every task only up to this many (60 MB of 384-value double vectors).
 MAX_COPIED_QUESTIONS = 20_000
+MAX_COPIED_HITS = 20 * MAX_COPIED_QUESTIONS
 # Beyond it both sides are cut into blocks of these many rows that meet block by block.
 QUESTION_BLOCK = 20_000
 CHUNK_BLOCK = 50_000
@@ -73,8 +76,13 @@ def search(chunks: DataFrame, query: Column, top_k: int = 5, article_tickers: Da
 def describe_hits(hits: DataFrame, chunks: DataFrame, articles: DataFrame, article_tickers: DataFrame | None = None) -> DataFrame:
     """Add chunk text, article columns, similarity and (given associations) all related tickers.
 
-    ``hits`` is a few rows per question, so the text columns are read for those only.
+    ``hits`` is a few rows per question, so the text columns are read for those only. Where two
+    joins need the hits, they are materialized first, so that vectors are scored once.
     """
+    if article_tickers is not None:
+        hits = materialize(hits)
+        if hits.count() <= MAX_COPIED_HITS:
+            hits = F.broadcast(hits)
     wide = (
         hits.join(chunks.select(*KEYS, "chunk_text"), KEYS)
         .join(
@@ -87,8 +95,6 @@ def describe_hits(hits: DataFrame, chunks: DataFrame, articles: DataFrame, artic
     )
     if article_tickers is None:
         return wide
-    from marketloom.operators.reads import with_related_tickers
-
     shown = article_tickers.join(hits.select("article_id").distinct(), "article_id", "left_semi")
     return with_related_tickers(wide, shown)
 
@@ -109,7 +115,7 @@ def search_batch(requests: DataFrame, chunks: DataFrame, top_k: int = 5) -> Data
     everywhere = F.array(F.lit(EVERYWHERE))
     vectors = _embedded(chunks).withColumn("scopes", everywhere)
     asked = requests.select("request_id", "query", everywhere.alias("scopes"))
-    return _ranked(asked, vectors, clamp_top_k(top_k))[0].drop("scope")
+    return _ranked(asked, _copied_questions(asked), vectors, clamp_top_k(top_k)).drop("scope")
 
 
 def search_batch_by_ticker(requests: DataFrame, chunks: DataFrame, article_tickers: DataFrame, top_k: int = 5) -> DataFrame:
@@ -118,32 +124,34 @@ def search_batch_by_ticker(requests: DataFrame, chunks: DataFrame, article_ticke
     A chunk's vector is read once with the array of requested tickers of its article, not once
     per ticker.
     """
+    asked = requests.select("request_id", "query", F.array("ticker").alias("scopes"))
+    copied = _copied_questions(asked)
     wanted = requests.select("ticker").distinct()
+    if copied is not None:
+        wanted = F.broadcast(wanted)  # no more than the copied questions
     scopes = (
         article_tickers.join(wanted, "ticker", "left_semi")
         .groupBy("article_id")
         .agg(F.collect_set("ticker").alias("scopes"))  # at most the requested tickers
     )
     vectors = _embedded(chunks).join(scopes, "article_id")
-    asked = requests.select("request_id", "query", F.array("ticker").alias("scopes"))
-    hits, copied = _ranked(asked, vectors, clamp_top_k(top_k))
+    hits = _ranked(asked, copied, vectors, clamp_top_k(top_k))
     described = hits.withColumnRenamed("scope", "ticker").join(
         article_tickers.select("article_id", "ticker", "sentiment", "sentiment_reasoning"), ["article_id", "ticker"]
     )
-    return F.broadcast(described) if copied else described
+    return described if copied is None else F.broadcast(described)
 
 
 def _embedded(chunks: DataFrame) -> DataFrame:
     return chunks.filter(F.col("embedding").isNotNull()).select(*KEYS, "embedding")
 
 
-def _ranked(requests: DataFrame, vectors: DataFrame, k: int) -> tuple[DataFrame, bool]:
-    """Ranked hits, and whether there are few enough questions for joins to copy the hits."""
-    copied = _copied_questions(requests)
+def _ranked(requests: DataFrame, copied, vectors: DataFrame, k: int) -> DataFrame:
+    """Ranked hits; those of copied questions are few enough for joins to copy them too."""
     best = _best_per_block(requests, vectors, k) if copied is None else _best_per_task(copied, vectors, k)
     w = W.partitionBy("request_id").orderBy(*hit_order())
     hits = best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return (hits, False) if copied is None else (F.broadcast(hits), True)
+    return hits if copied is None else F.broadcast(hits)
 
 
 def _best_per_task(copied, vectors: DataFrame, k: int) -> DataFrame:
@@ -294,7 +302,7 @@ def search_batch_approximate(requests: DataFrame, chunks: DataFrame, centers: np
     """Like ``search_batch``, but a question sees only the chunks in its ``probes`` nearest cells."""
     vectors = _embedded(chunks).withColumn("scopes", _nearest_cells(centers, 1)(F.col("embedding")))
     asked = requests.select("request_id", "query", _nearest_cells(centers, probes)(F.col("query")).alias("scopes"))
-    return _ranked(asked, vectors, clamp_top_k(top_k))[0].drop("scope")
+    return _ranked(asked, _copied_questions(asked), vectors, clamp_top_k(top_k)).drop("scope")
 
 
 def _nearest_cells(centers: np.ndarray, count: int):

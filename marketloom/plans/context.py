@@ -45,22 +45,30 @@ def research_context(
 ) -> DataFrame:
     """One row per valid request: company, latest prices, newest news, diversified evidence.
 
-    Every branch is cut to the requested tickers first and to its limit before rows are grouped.
+    Few requested tickers are copied to the scans, which then shuffle only rows of those tickers.
+    Many are joined after each ticker was cut to its limit: a hot ticker's rows must not meet in
+    one task by way of the join on the ticker.
     """
     asked = valid_requests(requests)
     tickers = asked.select("ticker").distinct()
+    few = reads.few_tickers(tickers)
     evidence_limit = search.clamp_top_k(semantic_top_k)
 
+    def before(df: DataFrame) -> DataFrame:
+        return df if few is None else df.join(few, "ticker", "left_semi")
+
+    def after(df: DataFrame) -> DataFrame:
+        return df.join(tickers, "ticker", "left_semi") if few is None else df
+
     company = companies.select("ticker", F.struct(*_present(companies, COMPANY_FIELDS)).alias("company"))
-    wanted_prices = prices.join(tickers, "ticker", "left_semi")
-    price_rows = _fill(reads.recent_prices(wanted_prices, price_history_limit), prices, PRICE_FIELDS)
-    price = _ordered_array(price_rows, "ticker", "position", PRICE_FIELDS, "prices")
+    price_rows = after(reads.recent_prices(before(prices), price_history_limit))
+    price = _ordered_array(_fill(price_rows, prices, PRICE_FIELDS), "ticker", "position", PRICE_FIELDS, "prices")
 
-    linked = article_tickers.join(tickers, "ticker", "left_semi")
-    news_rows = reads.recent_news(articles, linked, recent_news_limit, related=False)
+    linked = before(article_tickers)
+    news_rows = after(reads.recent_news(articles, linked, recent_news_limit, related=False))
     news = _ordered_array(news_rows, "ticker", "rank", NEWS_FIELDS, "recent_news")
 
-    hits = search.search_batch_by_ticker(asked, chunks, linked, search.candidate_limit(evidence_limit))
+    hits = search.search_batch_by_ticker(asked, chunks, article_tickers, search.candidate_limit(evidence_limit))
     kept = search.diversify(hits, evidence_limit)
     described = search.describe_hits(kept, chunks, articles).withColumnRenamed("publisher_name", "publisher")
     evidence = _ordered_array(described, "request_id", "position", EVIDENCE_FIELDS, "semantic_evidence")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings (safe to apply to a session somebody else started).
 RUNTIME_CONF = {
@@ -50,3 +50,11 @@ def shared_dir(spark: SparkSession) -> str:
     fallback = tempfile.mkdtemp(prefix="marketloom-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """A small result used more than once, computed once into the shared checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

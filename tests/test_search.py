@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import embed, search
+from marketloom.operators import embed, reads, search
 from marketloom.plans import context, questions, requests as rq
 
 SCHEMA = "article_id string, chunk_index int, chunk_text string, embedding array<float>"
@@ -111,7 +111,9 @@ def test_diversify(spark):
     assert search.candidate_limit(8) == 16 and search.candidate_limit(15) == 20
 
 
-def test_context_and_json(spark, fixture):
+@pytest.mark.parametrize("copied", [200_000, 0])
+def test_context_and_json(spark, fixture, monkeypatch, copied):
+    monkeypatch.setattr(reads, "MAX_COPIED_TICKERS", copied)  # both ways of cutting to the tickers
     chunks, links, _, _, _, questions = fixture
     asked = spark.createDataFrame(
         [(1, " hot ", " a  b ", questions[0][3]), (2, "NONE", "q", questions[1][3]), (3, "HOT", " ", questions[1][3]), (4, "b@d", "q", questions[1][3])],
@@ -160,3 +162,14 @@ def test_text_questions_find_their_own_chunk(spark):
     assert (every.article_id, every.rank) == ("a3", 1)
     bound = {r.request_id: r.article_id for r in questions.semantic_news_search(asked, chunks, 1, links).collect()}
     assert bound == {1: "a3", 2: "a12"}
+
+
+def test_hits_are_described_with_all_related_tickers(spark, fixture):
+    chunks, links, _, rows, tickers, questions_ = fixture
+    articles = spark.range(60).selectExpr("concat('a', id) article_id", "concat('T', id) title", "'p' publisher", "'u' article_url", "timestamp_seconds(id) published_at")
+    hits = search.search(chunks, F.lit(questions_[0][3]), 4)
+    out = {(r.article_id, r.chunk_index): r for r in search.describe_hits(hits, chunks, articles, links).collect()}
+    assert set(out) == set(brute(rows, questions_[0][3], 4))
+    for (article, _), r in out.items():
+        assert r.tickers == sorted(t for a, t, _, _ in tickers if a == article) and abs(r.similarity - (1 - r.distance)) < 1e-12
+        assert (r.ticker, r.sentiment, r.title) == (None, None, "T" + article[1:])
