@@ -161,7 +161,11 @@ def near_vectors(
         "tree", "leaf", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "v",
     )
-    links = dealt.groupBy("tree", "leaf", "one", "two").applyInArrow(partial(_compare, cosine=cosine), "a bigint, b bigint")
+
+    def compare(group: pa.Table) -> pa.Table:
+        return _compare(group, cosine)
+
+    links = dealt.groupBy("tree", "leaf", "one", "two").applyInArrow(compare, "a bigint, b bigint")
     links = staged(links.distinct(), "links")
 
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

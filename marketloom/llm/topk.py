@@ -126,7 +126,7 @@ def top_k(
     )
     asked = rows.filter("asked").select("id", "v").mapInArrow(make, BLOCK_SCHEMA)
     asked = asked.withColumnsRenamed({"ids": "query_ids", "vectors": "queries"}).withColumn(
-        "slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).cast("bigint")
+        "slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint")))
     )
     found = blocks.join(asked, ["slot", "size"]).select("size", "ids", "vectors", "query_ids", "queries").mapInArrow(
         partial(_search, k=k), "query_id bigint, vec_id bigint, score bigint"
