@@ -84,27 +84,31 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
     )
 
 
-def _similar(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = as_bytes(batch.column("text_a")), as_bytes(batch.column("text_b"))
+        wanted = batch.column("extras").to_pylist()
         for lo, hi in chunks([x + y for x, y in zip(left, right)]):
             one, two = shingle_sets(left[lo:hi], words), shingle_sets(right[lo:hi], words)
-            keep = []
-            for x, y in zip(one, two):
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-            part = batch.slice(lo, hi - lo).select(["a", "b"])
-            yield part.filter(pa.array(keep, pa.bool_()))
-
-
-def verified(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets meet 100 * intersection >= percent * union."""
+            common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two)]
+            extra = [np.setdiff1d(y, x, assume_unique=True).view(np.int64) if w else [] for x, y, w in zip(one, two, wanted[lo:hi])]
+            columns = [pa.array(c, pa.int64()) for c in ([len(x) for x in one], [len(y) for y in two], common)]
+            part = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("a"), part.column("b"), *columns, pa.array(extra, pa.list_(pa.int64()))],
+                ["a", "b", "n_a", "n_b", "common", "extra"],
+            )
+
+
+def compared(pairs: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(a, b, n_a, n_b, common, extra) for pairs (a, b, extras): sizes of the full shingle sets and of their
+    intersection; where ``extras`` is set, b's shingles that a lacks."""
     text = docs.select("doc_id", "text")
     joined = pairs.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
     )
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(
-        partial(_similar, words=words, percent=percent), "a bigint, b bigint"
+    return joined.select("a", "b", "extras", "text_a", "text_b").mapInArrow(
+        partial(_compare, words=words), "a bigint, b bigint, n_a bigint, n_b bigint, common bigint, extra array<bigint>"
     )
 
 
@@ -115,11 +119,16 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) for every document id.
 
     Texts with equal shingle sets form one class from the start, whatever its size; its smallest id
-    stands for it. The members of a band's bucket are compared with the bucket's smallest member,
-    then, only where a bucket still holds several components, with a second member, and at last
-    across the components that are left, so groups of near copies don't turn into all their pairs,
-    and no candidate pair that could still join two components is left unchecked. Sizes whose ratio
-    rules the similarity out aren't compared.
+    stands for it. In each band's bucket one member is the centre, the one with the most company in all its
+    buckets, and the others are compared with it alone. Two members are compared with each other only if
+    they could still be similar though one of them isn't similar to the centre c. With i shingles shared with c
+    and n in all, similar x and y need
+
+        min(i_x, i_y) + |(x & y) - c| >= percent / (100 + percent) * (n_x + n_y)
+
+    so either they share shingles that c lacks, which an equi-join on those finds and counts, or
+    min(i_x, i_y) alone reaches the right side, which takes a y smaller than c. Both are necessary conditions, so
+    no pair that shares a band is lost, and a large group of near copies doesn't turn into all its pairs.
 
     Null and empty texts have an empty set and link with nothing. Rows without an id are left out;
     rows that repeat an id count as one document with the links of all of them. Other columns are ignored.
@@ -132,50 +141,57 @@ def near_duplicates(
     classes = filled.groupBy("print").agg(F.min("doc_id").alias("rep"))
     reps = signed.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     banded = reps.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    members = staged(
-        banded.join(shared.drop("last"), "key").select("key", "doc_id", "n_shingles", "first"), "members"
+    shared = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = staged(banded.join(shared, "key").select("key", "doc_id", "n_shingles", "size"), "members")
+    company = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
+    ranked = members.join(company, "doc_id")
+    lead = F.struct(F.col("company"), (-F.col("doc_id")).alias("minus_id"))
+    centres = ranked.groupBy("key").agg((-F.max(lead)["minus_id"]).alias("a"))
+    stars = members.join(centres, "key").filter("doc_id <> a").groupBy("a", F.col("doc_id").alias("b")).agg(
+        F.max(F.col("size") > 2).alias("extras")
     )
-    sizes = reps.select(F.col("doc_id").alias("other"), F.col("n_shingles").alias("other_n"))
-
-    def comparable(pairs: DataFrame) -> DataFrame:
-        fits = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-        return pairs.filter(fits).select("a", "b").distinct()
-
-    stars = members.filter("doc_id <> first").select(
-        F.col("first").alias("a"), F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b")
-    ).distinct().join(sizes.withColumnsRenamed({"other": "a", "other_n": "n_a"}), "a")
-    checked = staged(comparable(stars), "checked")
-    links = staged(verified(checked, docs, words, percent), "links")
-    found = components(links)
-
-    def open_buckets(found: DataFrame) -> DataFrame:
-        """Members of the buckets that still hold several components, with their component."""
-        known = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        return known.join(mixed.select("key"), "key", "left_semi").select("key", "doc_id", "n_shingles", "component")
-
-    # a second star, around the member with the smallest hash
-    rest = staged(open_buckets(found), "rest")
-    turn = F.struct(F.xxhash64("doc_id", F.lit(2)).alias("h"), F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c"))
-    centre = rest.groupBy("key").agg(F.min(turn).alias("m")).select("key", "m.a", "m.n_a", "m.c")
-    second = rest.join(centre, "key").filter("component <> c").select(
-        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"),
-        F.col("n_a"), F.col("n_shingles").alias("n_b"),
+    star = staged(compared(stars, docs, words), "star").withColumn(
+        "linked", F.expr(f"100 * common >= {percent} * (n_a + n_b - common)")
     )
-    again = staged(comparable(second).join(checked, ["a", "b"], "left_anti"), "again")
-    links = links.unionAll(staged(verified(again, docs, words, percent), "links"))
+    links = star.filter("linked").select("a", "b")
     found = components(links)
 
-    # what is left: pairs of a bucket across components
-    rest = staged(open_buckets(found), "rest")
-    one = rest.select("key", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    two = rest.select("key", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    across = one.join(two, "key").filter("a < b and c_a <> c_b")
-    last = staged(comparable(across).join(checked.unionAll(again), ["a", "b"], "left_anti"), "last")
-    links = links.unionAll(staged(verified(last, docs, words, percent), "links"))
+    # members that aren't similar to their centre, against the other members of the centre's buckets
+    loose = staged(
+        star.join(stars.filter("extras").select("a", "b"), ["a", "b"])
+        .join(found.withColumnRenamed("node", "b"), "b", "left")
+        .select(F.col("a").alias("c"), F.col("b").alias("x"), "n_a", F.col("n_b").alias("n"), "common", "linked", "extra",
+                F.coalesce("component", "b").alias("component")),
+        "loose",
+    )
+    apart = loose.filter("not linked").select("c").distinct()
+    loose = loose.join(apart, "c", "left_semi")
+    left = loose.filter("not linked")
+    right = loose.select("c", F.col("x").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"),
+                         F.col("linked").alias("linked_y"), F.col("extra").alias("extra_y"), F.col("component").alias("component_y"))
+    once = "component <> component_y and (linked_y or x < y)"
+    least = f"{percent} * (n + n_y)"  # a hundred and percent times what the two must share
+    sizes_fit = f"100 * least(n, n_y) >= {percent} * greatest(n, n_y)"
+    by_extra = (
+        left.select("c", "x", "n", "common", "component", F.explode("extra").alias("token"))
+        .join(right.select("c", "y", "n_y", "common_y", "linked_y", "component_y", F.explode("extra_y").alias("token")), ["c", "token"])
+        .filter(f"{once} and {sizes_fit}")
+        .groupBy("c", "x", "y")
+        .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("n_y").alias("n_y"),
+             F.first("common").alias("common"), F.first("common_y").alias("common_y"))
+        .filter(f"{100 + percent} * (least(common, common_y) + shared) >= {least}")
+    )
+    smaller = right.filter(f"100 * common_y >= {percent} * n_y").drop("extra_y")
+    by_size = (
+        left.filter(f"100 * common >= {percent} * n").drop("extra")
+        .join(smaller, "c")
+        .filter(f"n_y < n_a and {once} and {sizes_fit} and {100 + percent} * least(common, common_y) >= {least}")
+    )
+    pairs = by_extra.select("x", "y").unionAll(by_size.select("x", "y")).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(False).alias("extras")
+    ).distinct()
+    rest = staged(compared(staged(pairs, "pairs"), docs, words), "rest")
+    links = links.unionAll(rest.filter(f"100 * common >= {percent} * (n_a + n_b - common)").select("a", "b"))
     found = staged(components(links), "components")
 
     by_rep = classes.join(found.withColumnsRenamed({"node": "rep"}), "rep", "left").select(
