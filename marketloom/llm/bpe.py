@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
@@ -14,11 +15,12 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-MEMO_ENTRIES = 400_000  # resolved units kept per worker; beyond it units are resolved again each time
 BATCH_BYTES = 4 << 20
 
-# A space with white space on both sides: only there can the piece before a space reach over it.
-_RUN = re.compile(r"[^\S ] [^\S ]")
+# The characters of Unicode's White_Space property.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# White space other than one plain space.
+_RUN = re.compile(f"([{_WHITE}]{{2,}}|[{_WHITE.replace(' ', '')}])")
 
 
 class PerfectHash:
@@ -98,15 +100,69 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Encoder(dict):
-    """Ids of texts. As a dict it holds, per unit between single spaces, the ids of " " + unit.
+class Units(dict):
+    """Ids of texts by their units, the pieces between white space: as a dict, the ids of " " + unit.
 
-    Pre-tokens never reach over a space that has no white space beside it on both sides, so such
-    a text is the units' pre-tokens in order and repeated units are resolved once per worker.
-    Other texts are split whole.
+    A text's pre-tokens are those of its units in order, each with the one space before it, and of the
+    rest of the white space: a run followed by a word is one pre-token but for its last character, which
+    belongs to the word if it is a space and else stands alone. Pre-tokens don't reach from a letter to
+    punctuation either: a unit that ends in punctuation is its word and that ending. So units that
+    repeat are resolved once per worker.
     """
 
+    room = 500_000  # units kept per worker; beyond it units are resolved again each time
+    mark = None  # a string that units holding it must not be cut in
+
+    def __init__(self) -> None:
+        self.plain: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        """The ids of any text, as native 32-bit integers."""
+        raise NotImplementedError
+
+    def _kept(self, store: dict[str, bytes], key: str, text: str) -> bytes:
+        ids = self.whole(text)
+        if len(store) < self.room and len(key) < 64:
+            store[key] = ids
+        return ids
+
+    def unspaced(self, text: str) -> bytes:
+        """The ids of a unit with no space before it, of an ending, or of white space."""
+        ids = self.plain.get(text)
+        return self._kept(self.plain, text, text) if ids is None else ids
+
+    def __missing__(self, unit: str) -> bytes:
+        word = unit.rstrip(string.punctuation)
+        if word != unit and word and word[-1].isalpha() and not (self.mark and self.mark in unit):
+            return self[word] + self.unspaced(unit[len(word) :])
+        return self._kept(self, unit, " " + unit)
+
+    def encode(self, text: str) -> bytes:
+        parts = _RUN.split(text)
+        out, spaced, last = [], False, len(parts) - 1
+        for i, part in enumerate(parts):
+            if not part:
+                continue
+            if i % 2 == 0:
+                units = part.split(" ")
+                out.append(self[units[0]] if spaced else self.unspaced(units[0]) if units[0] else b"")
+                out.extend(map(self.__getitem__, units[1:]))
+            elif i + 1 == last and not parts[last]:
+                out.append(self.unspaced(part))
+            else:
+                spaced = part[-1] == " "
+                if rest := part[:-1]:
+                    out.append(self.unspaced(rest))
+                if not spaced:
+                    out.append(self.unspaced(part[-1]))
+        return b"".join(out)
+
+
+class Encoder(Units):
+    """Units resolved by a rank file: the perfect hash for pre-tokens in the vocabulary, merges for others."""
+
     def __init__(self, path: str, pattern: str) -> None:
+        super().__init__()
         with open(path, "rb") as f:
             pairs = [line.split() for line in f if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
@@ -123,19 +179,6 @@ class Encoder(dict):
     def whole(self, text: str) -> bytes:
         return np.array([i for t in self.split(text) for i in self.piece(t)], np.int32).tobytes()
 
-    def __missing__(self, unit: str) -> bytes:
-        out = self.whole(" " + unit)
-        if len(self) < MEMO_ENTRIES and len(unit) < 64:
-            self[unit] = out
-        return out
-
-    def encode(self, text: str) -> bytes:
-        """The ids as native 32-bit integers."""
-        if "  " in text or _RUN.search(text):
-            return self.whole(text)
-        units = text.split(" ")
-        return b"".join([self.whole(units[0]), *map(self.__getitem__, units[1:])])
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:

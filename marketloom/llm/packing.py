@@ -11,44 +11,34 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from marketloom.llm.bpe import _RUN
+from marketloom.llm.bpe import Units
 
 LENGTH, SEGMENTS = 2048, 512
-MEMO_ENTRIES = 400_000
-BLOCK = 768  # remainders that are packed together
+BLOCK = 384  # remainders that are packed together
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, loss_tokens bigint"
 )
 
 
-class Units(dict):
-    """Token ids of texts by a tokenizer file; ids of " " + unit are kept per unit (see bpe.Encoder)."""
+class Tokens(Units):
+    """Units resolved by a tokenizer file. Strings of special tokens count as it takes them."""
+
+    room, mark = 1_000_000, "<|"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tool = Tokenizer.from_file(path)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, unit: str) -> bytes:
-        out = self.whole(" " + unit)
-        if len(self) < MEMO_ENTRIES and len(unit) < 64:
-            self[unit] = out
-        return out
-
-    def ids(self, text: str) -> bytes:
-        if "  " in text or _RUN.search(text):
-            return self.whole(text)
-        units = text.split(" ")
-        return b"".join([self.whole(units[0]), *map(self.__getitem__, units[1:])])
-
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Units:
-    return Units(path)
+def tokenizer(path: str) -> Tokens:
+    return Tokens(path)
 
 
 class Packer:
@@ -145,7 +135,7 @@ def _pack(
     for batch in batches:
         ids_col, text_col = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for doc_id, text in zip(ids_col, text_col):
-            ids = (tool.ids(text) if text else b"") + end
+            ids = (tool.encode(text) if text else b"") + end
             n, step = len(ids) // 4, min(length, loss)
             held[seen] = (doc_id, ids, n)
             whole = n // step * step
