@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from marketloom.functions import vectors
+
 DEFAULT_WATCHLIST = "My Watchlist"
 ID_BUCKET_DIGITS = 4  # 16**4 id buckets
 
@@ -151,17 +153,23 @@ def watchlist_members(members: DataFrame, results: DataFrame, keys: Sequence[str
     return members.select(*keys, "added_at").join(after.select(*keys), keys, "left_anti").unionByName(acted)
 
 
-def replace_chunks(current: DataFrame, replaced: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Chunks of every article in ``replaced`` are swapped for those in ``chunks`` (none: deleted).
+def replace_chunks(current: DataFrame, replaced: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks of every article in ``replaced`` are swapped for those in ``chunks`` (none: deleted)
+    -> (next chunks, refused articles with reason).
 
-    An article with a blank replacement chunk is left as it is.
+    Replacements are numbered from 0 in the order of the index they were sent with. An article with a
+    blank replacement chunk is refused and left as it is.
     """
     body = F.nullif(F.btrim("chunk_text"), F.lit(""))
     blank = chunks.filter(body.isNull()).select("article_id").distinct()
     ids = replaced.select("article_id").distinct().join(blank, "article_id", "left_anti")
-    fresh = chunks.join(ids, "article_id", "left_semi").select("article_id", "chunk_index", body.alias("chunk_text"))
+    place = F.row_number().over(W.partitionBy("article_id").orderBy("chunk_index", "chunk_text")) - 1
+    fresh = chunks.join(ids, "article_id", "left_semi").select(
+        "article_id", place.cast("int").alias("chunk_index"), body.alias("chunk_text")
+    )
     kept = current.join(ids, "article_id", "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    refused = replaced.select("article_id").distinct().join(blank, "article_id", "left_semi")
+    return kept.unionByName(fresh, allowMissingColumns=True), refused.withColumn("reason", F.lit("blank replacement chunk"))
 
 
 def set_embeddings(current: DataFrame, updates: DataFrame, dimension: int, seq: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -169,7 +177,7 @@ def set_embeddings(current: DataFrame, updates: DataFrame, dimension: int, seq:
     keys = ["article_id", "chunk_index"]
     reason = F.when(
         F.coalesce(F.size("embedding"), F.lit(0)) != dimension, F.lit("wrong embedding size")
-    ).when(F.coalesce(F.btrim("embedding_model"), F.lit("")) == "", F.lit("missing embedding model"))
+    ).when(~vectors.is_valid_vector(F.col("embedding"), dimension), F.lit("embedding is not finite")).when(F.coalesce(F.btrim("embedding_model"), F.lit("")) == "", F.lit("missing embedding model"))
     checked = updates.withColumn("reason", reason)
     sound = checked.filter("reason IS NULL").drop("reason")
     new = last_write(sound, keys, seq).select(

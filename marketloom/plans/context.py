@@ -145,6 +145,12 @@ def _holds_vectors(dtype: T.DataType) -> bool:
     return False
 
 
+def _iso_seconds(c: Column) -> Column:
+    """Date and time with microseconds where there are any."""
+    fraction = F.date_format(c, ".SSSSSS")
+    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == ".000000", "").otherwise(fraction))
+
+
 def json_safe(c: Column, dtype: T.DataType) -> Column:
     """Decimals, dates and timestamps as strings (ISO), at every depth; other values as they are."""
     if isinstance(dtype, T.DecimalType):
@@ -152,9 +158,9 @@ def json_safe(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, T.TimestampType):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssXXX")
+        return F.concat(_iso_seconds(c), F.date_format(c, "xxx"))
     if isinstance(dtype, T.TimestampNTZType):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        return _iso_seconds(c)
     if isinstance(dtype, T.ArrayType):
         return F.transform(c, lambda x: json_safe(x, dtype.elementType))
     if isinstance(dtype, T.StructType):

@@ -15,11 +15,15 @@ SHOWN_TITLES = 3
 def refresh(requests: DataFrame, company_payloads: DataFrame, bar_payloads: DataFrame, news_payloads: DataFrame):
     """requests(ticker, as_of) -> (companies, prices, news) inside each ticker's window.
 
+    Tickers are normalized first, what isn't a ticker is dropped, and a ticker that is asked for more than
+    once has one window, the latest.
     News payloads carry the ticker they were requested for; the newest five since the start of
     the price window are kept per ticker.
     """
     start, end = dates.price_window(F.col("as_of"))
-    windows = requests.select("ticker", start.alias("start_date"), end.alias("end_date"))
+    wanted = requests.select(text.normalize_ticker(F.col("ticker")).alias("ticker"), "as_of").filter("ticker IS NOT NULL")
+    wanted = wanted.groupBy("ticker").agg(F.max("as_of").alias("as_of"))
+    windows = wanted.select("ticker", start.alias("start_date"), end.alias("end_date"))
     companies = landed.accepted(landed.normalize_companies(company_payloads.join(windows, "ticker", "left_semi")))
     bars = bar_payloads.join(windows, "ticker")
     prices = landed.accepted(landed.normalize_price_bars(bars, F.col("start_date"), F.col("end_date")))

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marketloom.operators import state
 
@@ -30,8 +32,13 @@ def start_change_log(changes: DataFrame, log_path: str, checkpoint_path: str) ->
 
 def read_change_log(spark: SparkSession, log_path: str, like: DataFrame) -> DataFrame:
     """All landed changes with their batch_id; empty before the first batch."""
-    schema = like.schema.add("batch_id", "long")
-    return spark.read.schema(schema).parquet(log_path)
+    schema = StructType([*like.schema.fields, StructField("batch_id", LongType())])
+    try:
+        return spark.read.schema(schema).parquet(log_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def apply_change_log(

@@ -40,13 +40,6 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for CPU-heavy maps (JSON, regex chains, Python). The provided tables are one
-        file with one row group, a single task; a table of many files is read as it is."""
-        df = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, df.columns[0]) if len(df.inputFiles()) < cores else df
-
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A keyed engine table, written once per application to the shared folder and scanned
         from there: its readers prune columns instead of reducing the raw feed again."""
@@ -79,7 +72,7 @@ class Data:
 
     def company_feed(self) -> DataFrame:
         """Every line re-sends its supplier's company record, in (seq1..seq5) order."""
-        return self.spread("lineitem").select(
+        return self.table("lineitem").select(
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.concat(F.lit("Supplier at line "), text("l_linenumber")).alias("name"),
             F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("industry"),
@@ -91,7 +84,7 @@ class Data:
 
     def price_feed(self, lines: DataFrame | None = None) -> DataFrame:
         """One bar per line, duplicates per (ticker, price_date); the last by seq1..seq3 wins."""
-        return (self.spread("lineitem") if lines is None else lines).select(
+        return (self.table("lineitem") if lines is None else lines).select(
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.col("l_shipdate").cast("date").alias("price_date"),
             F.col("l_extendedprice").cast("decimal(20,6)").alias("close"),
@@ -113,7 +106,7 @@ class Data:
 
     def articles(self) -> DataFrame:
         low = F.col("o_orderpriority") == "5-LOW"
-        return self.spread("orders").select(
+        return self.table("orders").select(
             text("o_orderkey").alias("article_id"),
             F.concat(F.lit("Order "), text("o_orderkey")).alias("title"),
             F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("Customer "), text("o_custkey"))).alias("description"),
@@ -124,7 +117,7 @@ class Data:
 
     def article_ticker_feed(self) -> DataFrame:
         flag = F.col("l_returnflag")
-        return self.spread("lineitem").select(
+        return self.table("lineitem").select(
             text("l_orderkey").alias("article_id"),
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.when(flag == "R", "negative").when(flag == "A", "neutral").alias("sentiment"),
@@ -169,7 +162,7 @@ class Data:
     # -- documents
 
     def document_chunks(self, size: int = content.CHUNK_SIZE, overlap: int = content.CHUNK_OVERLAP) -> DataFrame:
-        docs = self.spread("documents").select(text("doc_id").alias("article_id"), "text")
+        docs = self.table("documents").select(text("doc_id").alias("article_id"), "text")
         return content.chunk_articles(docs, "text", size, overlap)
 
     def document_articles(self) -> DataFrame:

@@ -75,8 +75,8 @@ SELECT 'd' || doc_id AS id, {collapse_sql('text')} AS normalized FROM documents
 UNION ALL SELECT 'c' || conv_id || '-' || turn, {collapse_sql('text')} FROM conversations""",
 )
 def normalize_text(d: Data) -> DataFrame:
-    docs = d.spread("documents").select(F.concat(F.lit("d"), text("doc_id")).alias("id"), "text")
-    turns = d.spread("conversations").select(
+    docs = d.table("documents").select(F.concat(F.lit("d"), text("doc_id")).alias("id"), "text")
+    turns = d.table("conversations").select(
         F.concat(F.lit("c"), text("conv_id"), F.lit("-"), text("turn")).alias("id"), "text"
     )
     return docs.unionByName(turns).select("id", tx.collapse_ws(F.col("text")).alias("normalized"))
@@ -110,7 +110,7 @@ def usable_urls(d: Data) -> DataFrame:
         .otherwise(F.concat(F.regexp_extract(url, "^https?://[^/?#]+", 0), F.lit("//")))
     )
     rows = (
-        d.spread("pages")
+        d.table("pages")
         .select("page_id", F.col("url").alias("page_url"), F.explode(F.array(*map(F.lit, URL_VARIANTS))).alias("variant"))
         .withColumn("url", made)
     )
@@ -152,7 +152,7 @@ SELECT 'c' || conv_id || '-' || turn, {redact_sql(f"'token: ' || role || turn ||
 FROM conversations""",
 )
 def redact_text(d: Data) -> DataFrame:
-    docs = d.spread("documents").select(
+    docs = d.table("documents").select(
         F.concat(F.lit("d"), text("doc_id")).alias("id"), "text", F.col("source").alias("code"),
         F.concat(F.col("lang"), F.lit("|")).alias("content_type"),
     )
@@ -161,7 +161,7 @@ def redact_text(d: Data) -> DataFrame:
         F.lit("token: "), F.col("role"), turn, F.lit(" see https://x.example/"), text("conv_id"),
         F.lit(" {a {b} c} ["), turn, F.lit("] [none] "), F.col("text"),
     )
-    turns = d.spread("conversations").select(
+    turns = d.table("conversations").select(
         F.concat(F.lit("c"), text("conv_id"), F.lit("-"), turn).alias("id"), noisy.alias("text"),
         F.col("role").alias("code"),
         F.concat(F.lit("text/"), F.col("role"), F.lit(";  v="), turn).alias("content_type"),
@@ -220,11 +220,11 @@ BODY_SQL = f"SELECT page_id, url, CASE WHEN length(t) >= 200 THEN t END AS body
 
 @query("extract_articles", BODY_SQL)
 def extract_articles(d: Data) -> DataFrame:
-    return content.extract_articles(d.spread("pages")).select("page_id", "url", "body")
+    return content.extract_articles(d.table("pages")).select("page_id", "url", "body")
 
 
 def page_bodies(d: Data) -> DataFrame:
-    return content.extract_articles(d.spread("pages")).select(text("page_id").alias("article_id"), "body")
+    return content.extract_articles(d.table("pages")).select(text("page_id").alias("article_id"), "body")
 
 
 FALLBACK_SQL = f"""nullif(concat_ws(chr(10) || chr(10), CASE WHEN {collapse_sql('title')} <> '' THEN 'Title: ' || {collapse_sql('title')} END,
@@ -267,7 +267,7 @@ NEW_SOURCE = f"""SELECT CAST(doc_id AS VARCHAR) AS id,
 
 
 def document_bodies(d: Data) -> DataFrame:
-    return d.spread("documents").select(
+    return d.table("documents").select(
         text("doc_id").alias("article_id"), F.nullif(tx.collapse_ws(F.col("text")), F.lit("")).alias("body")
     )
 
@@ -312,9 +312,9 @@ def replace_chunks(d: Data) -> DataFrame:
     # low quality is re-chunked; what is toxic only is replaced by nothing
     labels = d.table("labels").select(text("doc_id").alias("article_id"), "quality", "toxic")
     low = labels.filter("quality = 0").select("article_id")
-    docs = d.spread("documents").select(text("doc_id").alias("article_id"), "text").join(low, "article_id", "left_semi")
+    docs = d.table("documents").select(text("doc_id").alias("article_id"), "text").join(low, "article_id", "left_semi")
     fresh = content.chunk_articles(docs, "text", 2400, 0)
-    return state.replace_chunks(d.document_chunks(), labels.filter("quality = 0 OR toxic = 1"), fresh)
+    return state.replace_chunks(d.document_chunks(), labels.filter("quality = 0 OR toxic = 1"), fresh)[0]
 
 
 @query(

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as e
 from oracle_check import compare, duck
+from registry.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON_STAGES = {  # text spans, embedding models and batch scoring are the only Python on executors
@@ -18,19 +19,19 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(e.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_duckdb(spark, con, name):
-    text, _, _, ok = compare(spark, con, name, e.queries()[name], e.oracle_sql().get(name), SF)
+    text, _, _, ok = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert ok, text
 
 
 def test_only_approximate_search_has_no_sql():
-    assert set(e.queries()) - set(e.oracle_sql()) == {"approx_semantic_search"}
+    assert set(QUERIES) - set(ORACLES) == {"approx_semantic_search"}
 
 
-@pytest.mark.parametrize("name", list(e.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plans_stay_in_the_jvm_and_never_cross_join(spark, name):
-    plan = e.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     python = any(stage in plan for stage in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMap"))
     assert python == (name in PYTHON_STAGES)

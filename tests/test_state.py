@@ -80,18 +80,47 @@ def test_watchlist_actions_across_buckets(spark):
 def test_replace_chunks(spark):
     cur = spark.createDataFrame([("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z"), ("c", 0, "w")], "article_id string, chunk_index int, chunk_text string")
     ids = spark.createDataFrame([("a",), ("b",), ("c",)], "article_id string")
-    new = spark.createDataFrame([("a", 0, " new "), ("c", 0, "ok"), ("c", 1, " ")], "article_id string, chunk_index int, chunk_text string")
-    nxt = state.replace_chunks(cur, ids, new)
-    assert rows(nxt, "article_id", "chunk_index", "chunk_text") == [("a", 0, "new"), ("c", 0, "w")]
+    new = spark.createDataFrame([("a", 3, " new "), ("a", 7, "newer"), ("c", 0, "ok"), ("c", 1, " ")], "article_id string, chunk_index int, chunk_text string")
+    nxt, refused = state.replace_chunks(cur, ids, new)
+    assert rows(nxt, "article_id", "chunk_index", "chunk_text") == [("a", 0, "new"), ("a", 1, "newer"), ("c", 0, "w")]
+    assert rows(refused, "article_id", "reason") == [("c", "blank replacement chunk")]
 
 
 def test_set_embeddings(spark):
     schema = "article_id string, chunk_index int, chunk_text string, embedding array<float>, embedding_model string"
     cur = spark.createDataFrame([("a", 0, "x", None, None), ("a", 1, "y", [1.0, 1.0], "m")], schema)
-    ups = [("a", 0, [1.0, 2.0], "m", 1), ("a", 0, [3.0, 4.0], "m", 2), ("a", 1, [1.0], "m", 1), ("a", 1, [1.0, 2.0], " ", 1), ("z", 0, [1.0, 2.0], "m", 1)]
+    ups = [("a", 0, [1.0, 2.0], "m", 1), ("a", 0, [3.0, 4.0], "m", 2), ("a", 1, [1.0], "m", 1), ("a", 1, [1.0, 2.0], " ", 1), ("z", 0, [1.0, 2.0], "m", 1), ("a", 1, [float("nan"), 1.0], "m", 1), ("a", 1, [None, 1.0], "m", 1)]
     nxt, rej = state.set_embeddings(cur, spark.createDataFrame(ups, "article_id string, chunk_index int, embedding array<float>, embedding_model string, seq int"), 2, ["seq"])
     assert {(r.chunk_index, tuple(r.embedding)) for r in nxt.collect()} == {(0, (3.0, 4.0)), (1, (1.0, 1.0))}
-    assert sorted(r.reason for r in rej.collect()) == ["chunk not found", "missing embedding model", "wrong embedding size"]
+    assert sorted(r.reason for r in rej.collect()) == ["chunk not found", "embedding is not finite", "embedding is not finite", "missing embedding model", "wrong embedding size"]
+
+
+def test_refresh_windows_are_one_per_normalized_ticker(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.plans import refresh
+
+    asked = spark.createDataFrame([("AAPL",), (" aapl ",), ("no ticker!",), (None,)], "ticker string")
+    empty = spark.createDataFrame([], "ticker string, payload string")
+    *_, windows = refresh.refresh(asked.withColumn("as_of", F.lit("2026-01-02").cast("timestamp_ntz")), empty, empty, empty)
+    assert [r.ticker for r in windows.collect()] == ["AAPL"]
+
+
+def test_json_safe_keeps_microseconds(spark):
+    from pyspark.sql import functions as F, types as T
+
+    from marketloom.plans.context import json_safe
+
+    row = spark.range(1).select(F.lit("2026-01-02 03:04:05.678901").cast("timestamp").alias("a"), F.lit("2026-01-02 03:04:05").cast("timestamp").alias("b"))
+    got = row.select(json_safe(F.col("a"), T.TimestampType()).alias("a"), json_safe(F.col("b"), T.TimestampType()).alias("b")).first()
+    assert tuple(got) == ("2026-01-02T03:04:05.678901+00:00", "2026-01-02T03:04:05+00:00")
+
+
+def test_change_log_is_empty_before_the_first_batch(spark, tmp_path):
+    from marketloom.streaming.ingest import read_change_log
+
+    like = spark.createDataFrame([("a", 1)], "k string, seq int")
+    assert read_change_log(spark, str(tmp_path / "log"), like).count() == 0
 
 
 def test_cascade(spark):
