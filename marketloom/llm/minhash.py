@@ -168,20 +168,31 @@ def near_duplicates(
     loose = loose.join(apart, "c", "left_semi")
     left = loose.filter("not linked")
     right = loose.select("c", F.col("x").alias("y"), F.col("n").alias("n_y"), F.col("common").alias("common_y"),
-                         F.col("linked").alias("linked_y"), F.col("extra").alias("extra_y"), F.col("component").alias("component_y"))
+                         F.col("linked").alias("linked_y"), F.col("component").alias("component_y"))
+    # shingles that the same members have count as one with a weight; those of one member alone, or
+    # only of members similar to the centre, tell nothing
+    token = loose.select("c", "x", "linked", F.explode("extra").alias("token"))
+    held = token.groupBy("c", "token").agg(
+        F.count("*").alias("holders"), F.bit_xor(F.xxhash64("x")).alias("s1"), F.bit_xor(F.xxhash64("x", F.lit(7))).alias("s2"),
+        F.max(~F.col("linked")).alias("loose"),
+    ).filter("holders > 1 and loose").drop("loose")
+    weights = held.groupBy("c", "holders", "s1", "s2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    held_by = staged(
+        token.join(weights.select("c", "token", "weight"), ["c", "token"]).select("c", "token", "weight", "x"), "held"
+    )
     once = "component <> component_y and (linked_y or x < y)"
     least = f"{percent} * (n + n_y)"  # a hundred and percent times what the two must share
     sizes_fit = f"100 * least(n, n_y) >= {percent} * greatest(n, n_y)"
     by_extra = (
-        left.select("c", "x", "n", "common", "component", F.explode("extra").alias("token"))
-        .join(right.select("c", "y", "n_y", "common_y", "linked_y", "component_y", F.explode("extra_y").alias("token")), ["c", "token"])
+        held_by.join(left.select("c", "x", "n", "common", "component"), ["c", "x"])
+        .join(held_by.drop("weight").withColumnRenamed("x", "y").join(right, ["c", "y"]), ["c", "token"])
         .filter(f"{once} and {sizes_fit}")
         .groupBy("c", "x", "y")
-        .agg(F.count("*").alias("shared"), F.first("n").alias("n"), F.first("n_y").alias("n_y"),
+        .agg(F.sum("weight").alias("shared"), F.first("n").alias("n"), F.first("n_y").alias("n_y"),
              F.first("common").alias("common"), F.first("common_y").alias("common_y"))
         .filter(f"{100 + percent} * (least(common, common_y) + shared) >= {least}")
     )
-    smaller = right.filter(f"100 * common_y >= {percent} * n_y").drop("extra_y")
+    smaller = right.filter(f"100 * common_y >= {percent} * n_y")
     by_size = (
         left.filter(f"100 * common >= {percent} * n").drop("extra")
         .join(smaller, "c")

@@ -226,7 +226,7 @@ def induce(right: np.ndarray, left: np.ndarray, near: np.ndarray, far: np.ndarra
             break
         if not go_on.all():
             kept = np.flatnonzero(go_on)
-            common = np.minimum.reduceat(common, np.concatenate(([0], kept[:-1] + 1)))
+            common = np.minimum.reduceat(common[: kept[-1] + 1], np.concatenate(([0], kept[:-1] + 1)))
             order = order[kept]
             common[0] = 0
         byte = left[order, o]
