@@ -182,11 +182,13 @@ def near_duplicates(
     )
     once = "component <> component_y and (linked_y or x < y)"
     least = f"{percent} * (n + n_y)"  # a hundred and percent times what the two must share
+    # the most two members can share
+    reach = f"{100 + percent} * (least(common, common_y) + least(n - common, n_y - common_y))"
     sizes_fit = f"100 * least(n, n_y) >= {percent} * greatest(n, n_y)"
     by_extra = (
         held_by.join(left.select("c", "x", "n", "common", "component"), ["c", "x"])
         .join(held_by.drop("weight").withColumnRenamed("x", "y").join(right, ["c", "y"]), ["c", "token"])
-        .filter(f"{once} and {sizes_fit}")
+        .filter(f"{once} and {sizes_fit} and {reach} >= {least}")
         .groupBy("c", "x", "y")
         .agg(F.sum("weight").alias("shared"), F.first("n").alias("n"), F.first("n_y").alias("n_y"),
              F.first("common").alias("common"), F.first("common_y").alias("common_y"))
