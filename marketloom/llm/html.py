@@ -133,13 +133,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str, bool]]]:
         nodes[parent].children.append(len(nodes))
         nodes.append(node)
         if tag in RAW:
-            end = page.lower().find("</" + tag, at) if tag not in ("svg", "math") else -1
-            if tag in ("svg", "math"):
-                stack.append((len(nodes) - 1, tag))
-                continue
-            at = size if end < 0 else end
-            stack.append((len(nodes) - 1, tag))
-            continue
+            if tag not in ("svg", "math"):  # their text isn't markup; it ends at the next end tag of the name
+                end = re.compile("</" + tag, re.I).search(page, at)
+                at = end.start() if end else size
         stack.append((len(nodes) - 1, tag))
     for node in reversed(nodes[1:]):
         nodes[node.parent].length += node.length
