@@ -8,7 +8,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from marketloom.llm.common import as_bytes, chunks, mix, seeds, staged
 from marketloom.llm.components import components
@@ -177,21 +177,36 @@ def near_duplicates(
         F.max(~F.col("linked")).alias("loose"),
     ).filter("holders > 1 and loose").drop("loose")
     weights = held.groupBy("c", "holders", "s1", "s2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    # ``rest``: the weight of a member's shingles from this one on, the rarest first. The first shingle that two
+    # members share has all they share behind it, so only there need the two be found
+    onward = Window.partitionBy("c", "x").orderBy(F.desc("holders"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
     held_by = staged(
-        token.join(weights.select("c", "token", "weight"), ["c", "token"]).select("c", "token", "weight", "x"), "held"
+        token.join(weights.select("c", "token", "weight", "holders"), ["c", "token"])
+        .withColumn("rest", F.sum("weight").over(onward)).select("c", "token", "weight", "rest", "x"),
+        "held",
     )
     once = "component <> component_y and (linked_y or x < y)"
     least = f"{percent} * (n + n_y)"  # a hundred and percent times what the two must share
     # the most two members can share
-    reach = f"{100 + percent} * (least(common, common_y) + least(n - common, n_y - common_y))"
+    reach = f"{100 + percent} * (least(common, common_y) + least(rest, rest_y))"
     sizes_fit = f"100 * least(n, n_y) >= {percent} * greatest(n, n_y)"
-    by_extra = (
-        held_by.join(left.select("c", "x", "n", "common", "component"), ["c", "x"])
-        .join(held_by.drop("weight").withColumnRenamed("x", "y").join(right, ["c", "y"]), ["c", "token"])
+    ahead = f"100 * (common + rest) >= {percent} * n"  # what it must share with a member of the smallest size that fits
+    met = (
+        held_by.drop("weight").join(left.select("c", "x", "n", "common", "component"), ["c", "x"]).filter(ahead)
+        .join(
+            held_by.drop("weight").withColumnsRenamed({"x": "y", "rest": "rest_y"}).join(right, ["c", "y"])
+            .filter(f"100 * (common_y + rest_y) >= {percent} * n_y"),
+            ["c", "token"],
+        )
         .filter(f"{once} and {sizes_fit} and {reach} >= {least}")
-        .groupBy("c", "x", "y")
-        .agg(F.sum("weight").alias("shared"), F.first("n").alias("n"), F.first("n_y").alias("n_y"),
-             F.first("common").alias("common"), F.first("common_y").alias("common_y"))
+        .select("c", "x", "y", "n", "n_y", "common", "common_y").distinct()
+    )
+    holdings = held_by.groupBy("c", "x").agg(F.collect_list(F.struct("token", "weight")).alias("own"))
+    shared_weight = F.aggregate(F.array_intersect("own", "own_y"), F.lit(0).cast("bigint"), lambda total, t: total + t["weight"])
+    by_extra = (
+        met.join(holdings, ["c", "x"])
+        .join(holdings.withColumnsRenamed({"x": "y", "own": "own_y"}), ["c", "y"])
+        .withColumn("shared", shared_weight)
         .filter(f"{100 + percent} * (least(common, common_y) + shared) >= {least}")
     )
     smaller = right.filter(f"100 * common_y >= {percent} * n_y")
