@@ -53,7 +53,7 @@ def directory(sizes: DataFrame, limit: int = LIMIT) -> DataFrame:
             (F.col("depth") + 1).alias("depth"), F.col("cell").alias("above"), (F.col("n_bytes") > limit).alias("split")
         )
         asked = sums.withColumn("above", F.call_function("shiftright", "cell", F.lit(1))).join(parents, ["depth", "above"], "left")
-        stands = asked.filter(F.coalesce("split", F.col("depth") == low) & (fits | F.lit(last & True) & (F.col("depth") == BITS)))
+        stands = asked.filter(F.coalesce("split", F.col("depth") == low) & (fits | (F.col("depth") == BITS)))
         stands = stands.select("depth", "cell", "n_bytes", "n_rows")
         out = stands if out is None else out.unionAll(stands)
         if last:
@@ -71,8 +71,7 @@ def assign(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     cell, shard_bytes, shard_rows.
 
     A row looks for its bucket at the directory's depths, which are few; the join is on (depth, cell).
-    A bucket of rows that share their whole hash is cut into parts of at most ``limit`` bytes
-    (a single larger row is a part), numbered in ``part``.
+    A bucket of rows that share their whole hash stays whole, also above ``limit``.
     """
     buckets = directory(rows.select("hash", "n_bytes"), limit)
     depths = sorted(r["depth"] for r in buckets.select("depth").distinct().collect())  # at most 61
