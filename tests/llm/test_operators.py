@@ -37,6 +37,30 @@ def test_minhash(docs):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_minhash_group_around_the_bound(spark):
+    """Members of one bucket that are similar to each other, to the centre, to both or to none."""
+    import random
+
+    from marketloom.llm.minhash import near_duplicates
+
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for block in rng.sample(range(6), 2):  # changes that several members share
+            at = rng.randrange(110)
+            words[at] = f"s{block}"
+        if i % 3 == 0:
+            words[rng.randrange(120)] = f"own{i}"
+        rows.append((i + 1, " ".join(words[: 120 - rng.randrange(20)])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # many one-row bands, so that every pair meets and only the comparison decides
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, percent=90, bands=64, rows=1).collect()}
+    assert got == brute.near_duplicates(dict(rows), percent=90)
+    assert len({c for _, c in got.values()}) > 3
+
+
 def test_suffix(docs):
     from marketloom.llm.suffix import remove_repeats
 
