@@ -165,7 +165,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, known: np.ndarray, ro
             excess = np.maximum(excess, np.abs(cov / np.outer(sd, sd)))
         np.fill_diagonal(excess, 0)
         share = 1 / (1 + np.where(excess > 0.1, excess, 0).sum(axis=1))
-        model = LabelModel(float(np.clip(mass[:, 1].sum() / mass.sum(), 1e-3, 0.5)), fires, silent, share)
+        model = LabelModel(float(np.clip(mass[:, 1].sum() / max(mass.sum(), 1), 1e-3, 0.5)), fires, silent, share)
     return model
 
 

@@ -175,3 +175,59 @@ def test_toxicity_separates_held_out_rows(spark):
     rows = e.queries()["op4_toxicity"](spark, "/root/testdata/sf0.1").collect()
     assert all(r.held_out == brute.held_out(r.doc_id) for r in rows)
     assert brute.auc([(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]) > 0.9
+
+
+def test_pipeline_against_plain_stages(spark):
+    """run() over a whole small table; the model's own scores decide what is toxic, the rest is plain Python."""
+    import struct
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as C
+    import public_tokenizers as P
+    from marketloom.llm import toxicity
+    from marketloom.llm.common import table
+
+    docs = table(spark, SF, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, SF, "labels")), column="toxicity")
+    toxic = {r.doc_id for r in scored.filter(F.col("toxicity") >= toxicity.CUT).select("doc_id").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id not in toxic}
+    texts = {i: texts[i] for i, (_, root) in brute.near_duplicates(texts).items() if root == i}
+    cut = brute.remove_repeats(texts)
+    texts = {i: texts[i] if not gone else kept.decode("utf-8", "replace").replace("\ufffd", "") for i, (_, gone, _, kept) in cut.items()}
+    assert toxic and any(gone for _, gone, _, _ in cut.values())
+
+    tool = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    pieces, sequences = {}, {}
+    for r in C.run(spark, SF).collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert set(pieces) == set(texts)
+    for i, text in texts.items():
+        ids, at = tool.encode(text or "", add_special_tokens=False).ids + [1], 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            own = ids[r.start : r.start + r.length]
+            assert (r.start, r.doc_tokens) == (at, len(ids)) and len(own) == r.length
+            assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(own)}I", *own))
+            at += r.length
+        assert at == len(ids)
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_pipeline_stages_on_odd_tables(spark, docs):
+    """Null and empty texts stay, an empty table stays empty; columns of other names don't get through."""
+    import corpus_pipeline as C
+
+    odd = docs.filter("doc_id <= 4").withColumn("n_chars", F.length("text").cast("bigint"))
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        assert out.columns == C.COLUMNS
+        assert {r.doc_id for r in out.collect()} == {1, 2, 3, 4}, name
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
+    assert C.STAGES[-1][1](spark, odd.limit(0), SF).count() == 0
