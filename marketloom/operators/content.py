@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from html import unescape
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marketloom.functions import text
 from marketloom.operators.reads import newest_first
@@ -18,16 +19,19 @@ MINIMUM_CHARACTERS = 200
 
 CHUNK_SCHEMA = "article_id string, chunk_index int, chunk_text string"
 
-# Main-body rules for HTML: what is cut from the article element, and the entities it may hold.
-ARTICLE_ELEMENT = r"(?s)<article[^>]*>(.*?)</article>"
+# Cut from the page before anything is looked for in it.
+NOT_SHOWN = (r"(?s)<!--.*?(?:-->|\z)", r"(?is)<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\z)")
+# The main body: all elements of the first kind that the page has; else its body; else the page.
+MAIN_ELEMENTS = (r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)", r"(?is)<main\b[^>]*>(.*?)(?:</main\s*>|\z)")
+BODY_ELEMENT = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
+# Cut from the main body; a page's header only where neither kind marks the main body.
+PAGE_HEADER = r"(?is)<header\b[^>]*>.*?</header\s*>"
 CUT_FROM_BODY = (
-    r"(?s)<(script|style|nav|footer)[^>]*>.*?</(script|style|nav|footer)>",
-    r"(?s)<!--.*?-->",
-    r'(?s)<div class="ad">.*?</div>',
-    r"(?s)<table[^>]*>.*?</table>",
+    r"(?is)<(nav|footer|aside|form|table)\b[^>]*>.*?</\1\s*>",
+    r"(?is)<(div|section|p|span)\b[^>]*\b(?:class|id)\s*=\s*"
+    r"""["'](?:[^"']*\s)?(?:ad|ads|advert|advertisement|promo|sponsored)(?:\s[^"']*)?["'][^>]*>.*?</\1\s*>""",
     r"<[^>]+>",
 )
-ENTITIES = (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
 
 def _check_minimum(minimum: int) -> None:
@@ -35,14 +39,23 @@ def _check_minimum(minimum: int) -> None:
         raise ValueError("minimum_characters must be a positive integer.")
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped(s: pd.Series) -> pd.Series:
+    return s.map(unescape, na_action="ignore")
+
+
 def main_text(html: Column) -> Column:
-    """Normalized main-body text of a page ('' when there is none)."""
-    body = F.regexp_extract(html, ARTICLE_ELEMENT, 1)
+    """Normalized main-body text of a page ('' when there is none): markup is cut by patterns in the JVM,
+    then character references, named or numeric, are decoded in Arrow batches."""
+    page = html
+    for pattern in NOT_SHOWN:
+        page = F.regexp_replace(page, pattern, " ")
+    whole = F.regexp_replace(F.coalesce(F.nullif(F.regexp_extract(page, BODY_ELEMENT, 1), F.lit("")), page), PAGE_HEADER, " ")
+    found = [F.array_join(F.regexp_extract_all(page, F.lit(pattern), 1), " ") for pattern in MAIN_ELEMENTS]
+    body = F.coalesce(*[F.when(F.btrim(f) != "", f) for f in found], whole)
     for pattern in CUT_FROM_BODY:
         body = F.regexp_replace(body, pattern, " ")
-    for entity, character in ENTITIES:
-        body = F.replace(body, F.lit(entity), F.lit(character))
-    return text.collapse_ws(body)
+    return text.collapse_ws(_unescaped(body))
 
 
 def extract_articles(pages: DataFrame, minimum_characters: int = MINIMUM_CHARACTERS, extractor: Callable[..., str | None] | None = None) -> DataFrame:

@@ -19,16 +19,19 @@ def latest_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= limit)
 
 
-# A ticker list is copied to every task only up to this many (well under 10 MB).
-MAX_COPIED_TICKERS = 200_000
+TICKER_SLICES = 32
 
 
-def few_tickers(tickers: DataFrame) -> DataFrame | None:
-    """The distinct tickers marked for copying when they are few enough, else None (counted, not guessed)."""
-    distinct = tickers.select("ticker").distinct()
-    if distinct.limit(MAX_COPIED_TICKERS + 1).count() > MAX_COPIED_TICKERS:
-        return None
-    return F.broadcast(distinct)
+def of_tickers(rows: DataFrame, tickers: DataFrame, slice_by: str) -> DataFrame:
+    """The rows of the given tickers.
+
+    The planner copies a list that it measures to be small. A longer one is joined on (ticker, slice),
+    so that the rows of a hot ticker are dealt over the slices of their ``slice_by``.
+    """
+    slices = F.sequence(F.lit(0), F.lit(TICKER_SLICES - 1))
+    wanted = tickers.select("ticker").distinct().withColumn("_slice", F.explode(slices))
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(slice_by), F.lit(TICKER_SLICES)).cast("int"))
+    return sliced.join(wanted, ["ticker", "_slice"], "left_semi").drop("_slice")
 
 
 def company_lookup(requests: DataFrame, companies: DataFrame) -> DataFrame:
@@ -96,13 +99,16 @@ def recent_news(articles: DataFrame, article_tickers: DataFrame, limit: int = 25
     dated = article_tickers.join(articles.select("article_id", "published_at"), "article_id")
     ranked = latest_rows(dated, ["ticker"], newest_first(), limit).drop("published_at")
     rows = ranked.join(articles, "article_id")
-    return with_related_tickers(rows, article_tickers) if related else rows
+    if not related:
+        return rows
+    shown = article_tickers.join(ranked.select("article_id").distinct(), "article_id", "left_semi")
+    return with_related_tickers(rows, shown)
 
 
 def watchlist_listing(watchlists: DataFrame, tickers: DataFrame) -> DataFrame:
-    """(user_id, ticker, added_at) of every watchlist, ordered by user and ticker."""
+    """(user_id, ticker, added_at) of every watchlist, a user's rows together and ordered by ticker."""
     rows = watchlists.select(F.col("id").alias("watchlist_id"), "user_id", "name").join(tickers, "watchlist_id")
-    return rows.select("user_id", "name", "ticker", "added_at").orderBy("user_id", "ticker")
+    return rows.select("user_id", "name", "ticker", "added_at").repartition("user_id").sortWithinPartitions("user_id", "ticker")
 
 
 def stock_summary(companies: DataFrame, prices: DataFrame, articles: DataFrame, article_tickers: DataFrame, headlines: int = 3) -> DataFrame:

@@ -30,7 +30,6 @@ EVERYWHERE = "*"
 MAX_PER_ARTICLE = 2
 # Questions are copied to every task only up to this many (60 MB of 384-value double vectors).
 MAX_COPIED_QUESTIONS = 20_000
-MAX_COPIED_HITS = 20 * MAX_COPIED_QUESTIONS
 # Beyond it both sides are cut into blocks of these many rows that meet block by block.
 QUESTION_BLOCK = 20_000
 CHUNK_BLOCK = 50_000
@@ -77,12 +76,11 @@ def describe_hits(hits: DataFrame, chunks: DataFrame, articles: DataFrame, artic
     """Add chunk text, article columns, similarity and (given associations) all related tickers.
 
     ``hits`` is a few rows per question, so the text columns are read for those only. Where two
-    joins need the hits, they are materialized first, so that vectors are scored once.
+    joins need the hits, they are materialized first, so that vectors are scored once, and the
+    planner knows how large they are.
     """
     if article_tickers is not None:
         hits = materialize(hits)
-        if hits.count() <= MAX_COPIED_HITS:
-            hits = F.broadcast(hits)
     wide = (
         hits.join(chunks.select(*KEYS, "chunk_text"), KEYS)
         .join(
@@ -136,10 +134,9 @@ def search_batch_by_ticker(requests: DataFrame, chunks: DataFrame, article_ticke
     )
     vectors = _embedded(chunks).join(scopes, "article_id")
     hits = _ranked(asked, copied, vectors, clamp_top_k(top_k))
-    described = hits.withColumnRenamed("scope", "ticker").join(
+    return hits.withColumnRenamed("scope", "ticker").join(
         article_tickers.select("article_id", "ticker", "sentiment", "sentiment_reasoning"), ["article_id", "ticker"]
     )
-    return described if copied is None else F.broadcast(described)
 
 
 def _embedded(chunks: DataFrame) -> DataFrame:

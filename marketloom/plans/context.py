@@ -45,27 +45,18 @@ def research_context(
 ) -> DataFrame:
     """One row per valid request: company, latest prices, newest news, diversified evidence.
 
-    Few requested tickers are copied to the scans, which then shuffle only rows of those tickers.
-    Many are joined after each ticker was cut to its limit: a hot ticker's rows must not meet in
-    one task by way of the join on the ticker.
+    Prices and links are cut to the requested tickers first, then to each ticker's newest rows.
     """
     asked = valid_requests(requests)
     tickers = asked.select("ticker").distinct()
-    few = reads.few_tickers(tickers)
     evidence_limit = search.clamp_top_k(semantic_top_k)
 
-    def before(df: DataFrame) -> DataFrame:
-        return df if few is None else df.join(few, "ticker", "left_semi")
+    company = companies.select("ticker", F.struct(*COMPANY_FIELDS).alias("company"))
+    price_rows = reads.recent_prices(reads.of_tickers(prices, tickers, "price_date"), price_history_limit)
+    price = _ordered_array(price_rows, "ticker", "position", PRICE_FIELDS, "prices")
 
-    def after(df: DataFrame) -> DataFrame:
-        return df.join(tickers, "ticker", "left_semi") if few is None else df
-
-    company = companies.select("ticker", F.struct(*_present(companies, COMPANY_FIELDS)).alias("company"))
-    price_rows = after(reads.recent_prices(before(prices), price_history_limit))
-    price = _ordered_array(_fill(price_rows, prices, PRICE_FIELDS), "ticker", "position", PRICE_FIELDS, "prices")
-
-    linked = before(article_tickers)
-    news_rows = after(reads.recent_news(articles, linked, recent_news_limit, related=False))
+    linked = reads.of_tickers(article_tickers, tickers, "article_id")
+    news_rows = reads.recent_news(articles, linked, recent_news_limit, related=False)
     news = _ordered_array(news_rows, "ticker", "rank", NEWS_FIELDS, "recent_news")
 
     hits = search.search_batch_by_ticker(asked, chunks, article_tickers, search.candidate_limit(evidence_limit))
@@ -92,15 +83,6 @@ def research_context(
     )
 
 
-def _present(df: DataFrame, fields: list[str]) -> list[Column]:
-    return [F.col(f) if f in df.columns else F.lit(None).cast("string").alias(f) for f in fields]
-
-
-def _fill(df: DataFrame, like: DataFrame, fields: list[str]) -> DataFrame:
-    missing = {f: F.lit(None).cast(T.DecimalType(20, 6)) for f in fields if f not in like.columns}
-    return df.withColumns(missing) if missing else df
-
-
 def context_counts(contexts: DataFrame) -> DataFrame:
     """How much of each part a context holds."""
     return contexts.select(

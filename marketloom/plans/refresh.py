@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketloom.functions import dates, text
 from marketloom.operators.reads import latest_rows, newest_first
+from marketloom.session import materialize
 from marketloom.sources import landed
 
 NEWS_LIMIT = 5
@@ -23,7 +24,7 @@ def refresh(requests: DataFrame, company_payloads: DataFrame, bar_payloads: Data
     start, end = dates.price_window(F.col("as_of"))
     wanted = requests.select(text.normalize_ticker(F.col("ticker")).alias("ticker"), "as_of").filter("ticker IS NOT NULL")
     wanted = wanted.groupBy("ticker").agg(F.max("as_of").alias("as_of"))
-    windows = wanted.select("ticker", start.alias("start_date"), end.alias("end_date"))
+    windows = materialize(wanted.select("ticker", start.alias("start_date"), end.alias("end_date")))
     companies = landed.accepted(landed.normalize_companies(company_payloads.join(windows, "ticker", "left_semi")))
     bars = bar_payloads.join(windows, "ticker")
     prices = landed.accepted(landed.normalize_price_bars(bars, F.col("start_date"), F.col("end_date")))

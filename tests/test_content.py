@@ -76,6 +76,26 @@ def test_extraction_and_supplied_extractor(spark):
         content.extract_articles(pages, minimum_characters=0)
 
 
+BODY = " ".join(f"word{i}" for i in range(100))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<html><body><header>Site</header><div>{BODY}</div><footer>f</footer></body></html>", BODY),
+        (f"<div>{BODY}</div>", BODY),
+        (f"<body>x<main><p>{BODY}</p><aside>a</aside></main></body>", BODY),
+        (f"<article>{BODY}</article><p>between</p><ARTICLE class='b'>second</ARTICLE>", BODY + " second"),
+        (f"<article>{BODY} &lt;b&gt; &#39;q&#x27;&nbsp;&eacute;</article>", BODY + " <b> 'q' é"),
+        (f"<article>{BODY}<div id='x' class='box ad wide'>buy</div><div class='made'>kept</div></article>", BODY + " kept"),
+        (f"<script>'<article>no</article>'</script><!-- <article>no</article> --><article>{BODY}", BODY),
+    ],
+)
+def test_main_text_of_literal_pages(spark, page, want):
+    df = spark.createDataFrame([(page,)], "html string")
+    assert df.select(content.main_text(F.col("html")).alias("t")).first().t == want
+
+
 ARTICLES = [
     ("a", "Title", "Desc", "https://x/a", "2024-01-02"), ("b", "Title", None, "ftp://x/b", "2024-01-03"),
     ("c", None, " ", "\t", "2024-01-04"), ("d", None, None, None, "2024-01-05"), ("e", "E", None, "https://x/e", None),

@@ -111,16 +111,25 @@ def test_diversify(spark):
     assert search.candidate_limit(8) == 16 and search.candidate_limit(15) == 20
 
 
-@pytest.mark.parametrize("copied", [200_000, 0])
-def test_context_and_json(spark, fixture, monkeypatch, copied):
-    monkeypatch.setattr(reads, "MAX_COPIED_TICKERS", copied)  # both ways of cutting to the tickers
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_context_and_json(spark, fixture, threshold):
+    # with and without copying of small sides
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_context_and_json(spark, fixture)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def check_context_and_json(spark, fixture):
     chunks, links, _, _, _, questions = fixture
     asked = spark.createDataFrame(
         [(1, " hot ", " a  b ", questions[0][3]), (2, "NONE", "q", questions[1][3]), (3, "HOT", " ", questions[1][3]), (4, "b@d", "q", questions[1][3])],
         "request_id long, ticker string, question string, query array<float>",
     )
     companies = spark.sql("SELECT 'HOT' ticker, 'Hot Inc' name, CAST(12.5 AS DECIMAL(24,4)) market_cap, 'I' industry, 'N' exchange, CAST(NULL AS STRING) description")
-    prices = spark.range(40).selectExpr("'HOT' ticker", "date_add(DATE'2024-01-01', CAST(id AS INT)) price_date", "CAST(id AS DECIMAL(20,6)) close", "CAST(1 AS DECIMAL(24,4)) volume")
+    prices = spark.range(40).selectExpr("'HOT' ticker", "date_add(DATE'2024-01-01', CAST(id AS INT)) price_date", "CAST(id AS DECIMAL(20,6)) close", "CAST(1 AS DECIMAL(24,4)) volume", *[f"CAST(NULL AS DECIMAL(20,6)) {c}" for c in ("open", "high", "low", "vwap")])
     articles = spark.range(60).selectExpr("concat('a', id) article_id", "concat('T', id) title", "'p' publisher", "CAST(NULL AS STRING) article_url", "timestamp_seconds(id) published_at")
     out = context.research_context(asked, companies, prices, articles, links, chunks).orderBy("request_id")
     a, b = out.collect()
@@ -133,7 +142,7 @@ def test_context_and_json(spark, fixture, monkeypatch, copied):
     body = json.loads(context.context_json(out).orderBy("request_id").first().json)
     assert body["company"]["market_cap"] == "12.5000" and body["company"]["description"] is None
     assert body["prices"][0] == {"ticker": "HOT", "price_date": "2024-01-11", "open": None, "high": None, "low": None, "close": "10.000000", "volume": "1.0000", "vwap": None}
-    assert body["recent_news"][0]["published_at"] == "1970-01-01T00:00:59Z"
+    assert body["recent_news"][0]["published_at"] == "1970-01-01T00:00:59+00:00"
 
 
 def test_strip_vectors_at_any_depth(spark):
