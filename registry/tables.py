@@ -186,6 +186,23 @@ def paged_results(d: Data) -> DataFrame:
     return out.select("request_id", "page_no", "result_no", F.get_json_object("result", "$.line").alias("line"), "reject_reason")
 
 
+@query(
+    "news_window",
+    with_ctes(
+        "b_links",
+        """
+SELECT ticker, article_id, published_at FROM b_links WHERE published_at >= TIMESTAMP '1996-01-01'
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY published_at DESC, article_id) <= 10""",
+    ),
+)
+def news_window(d: Data) -> DataFrame:
+    """Each ticker's ten newest articles since a given time."""
+    dated = d.articles().select("article_id", "published_at")
+    news = d.article_tickers().select("ticker", "article_id").join(dated, "article_id")
+    since = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    return landed.newest_per_request(news, ["ticker"], 10, since).select("ticker", "article_id", "published_at")
+
+
 @query(
     "canonical_json",
     """
@@ -438,6 +455,42 @@ def default_watchlists(d: Data) -> DataFrame:
     return users_and_watchlists(d)[1].select("id", "user_id", "name", "created_at")
 
 
+@query(
+    "cascade_users",
+    with_ctes(
+        "b_known_users b_held",
+        f"""
+, {EVENT_USERS}, {WATCHLISTS_SQL},
+kept AS (SELECT id, email FROM b_users WHERE email NOT LIKE '%7@example.com')
+SELECT 'user_watchlists' AS table_name, l.id AS owner_id, CAST(NULL AS VARCHAR) AS detail FROM b_lists l JOIN kept k ON k.id = l.user_id
+UNION ALL SELECT 'watchlist_tickers', l.id, h.ticker FROM b_held h JOIN kept k ON k.email = h.user_email JOIN b_lists l ON l.user_id = k.id
+UNION ALL SELECT 'research_notes', k.id, 'C' || turn FROM conversations c JOIN kept k ON k.email = 'u' || conv_id || '@example.com'""",
+    ),
+)
+def cascade_users(d: Data) -> DataFrame:
+    """Deleting users takes their watchlists, the tickers on those, and their notes along."""
+    users, lists = users_and_watchlists(d)
+    owners = users.select(F.col("email").alias("user_email"), F.col("id").alias("user_id"))
+    listed = lists.select(F.col("id").alias("watchlist_id"), "user_id")
+    tickers = d.held().join(owners, "user_email").join(listed, "user_id").select("watchlist_id", "ticker")
+    notes = (
+        d.table("conversations")
+        .select(F.concat(F.lit("u"), text("conv_id"), F.lit("@example.com")).alias("user_email"), F.concat(F.lit("C"), text("turn")).alias("ticker"))
+        .join(owners, "user_email")
+    )
+    gone = users.filter(F.col("email").like("%7@example.com"))
+    gone_lists = state.cascaded_rows(lists, "user_id", gone, "id")
+
+    def left(table: str, rows: DataFrame, owner: str, detail: Column) -> DataFrame:
+        return rows.select(F.lit(table).alias("table_name"), F.col(owner).alias("owner_id"), detail.alias("detail"))
+
+    return (
+        left("user_watchlists", state.cascade_delete(lists, "user_id", gone, "id"), "id", F.lit(None).cast("string"))
+        .unionByName(left("watchlist_tickers", state.cascade_delete(tickers, "watchlist_id", gone_lists, "id"), "watchlist_id", F.col("ticker")))
+        .unionByName(left("research_notes", state.cascade_delete(notes, "user_id", gone, "id"), "user_id", F.col("ticker")))
+    )
+
+
 KEYS, SEQ = ["user_email", "ticker"], ["ts", "event_id"]
 
 

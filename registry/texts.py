@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketloom.functions import text as tx, vectors
-from marketloom.operators import content, embed, search, state
+from marketloom.operators import content, embed, quality, search, state
 from marketloom.plans import questions
 from marketloom.schemas import EMBEDDING_DIMENSION
 from registry.bindings import Data, chunk_cte, text, with_ctes
@@ -25,25 +26,39 @@ TICKER = r"^[A-Z][A-Z0-9]{0,4}([.-][A-Z0-9]{1,2})?$"
 # ---------------------------------------------------------------- identifiers
 
 
-@query(
-    "normalize_tickers",
-    f"""
+TICKERS_SQL = f"""
 SELECT raw, CASE WHEN regexp_matches(upper(trim(raw, '{TRIM}')), '{TICKER}') THEN upper(trim(raw, '{TRIM}')) END AS ticker
 FROM (SELECT p_name AS raw FROM part UNION ALL SELECT chr(9) || p_type || '.b' || chr(10) FROM part UNION ALL SELECT p_brand FROM part
   UNION ALL SELECT chr(160) || ' k' || regexp_extract(props, '[0-9]+') || chr(8195) FROM events
-  UNION ALL SELECT 'k' || user_id || '-' || regexp_extract(props, '[0-9]+') FROM events)""",
-)
-def normalize_tickers(d: Data) -> DataFrame:
+  UNION ALL SELECT 'k' || user_id || '-' || regexp_extract(props, '[0-9]+') FROM events)"""
+
+
+def raw_tickers(d: Data) -> DataFrame:
     part, events = d.table("part"), d.table("events")
     k = F.get_json_object("props", "$.k")
-    raw = (
+    return (
         part.select(F.col("p_name").alias("raw"))
         .unionByName(part.select(F.concat(F.lit("\t"), F.col("p_type"), F.lit(".b\n")).alias("raw")))
         .unionByName(part.select(F.col("p_brand").alias("raw")))
         .unionByName(events.select(F.concat(F.lit(chr(160) + " k"), k, F.lit(chr(8195))).alias("raw")))
         .unionByName(events.select(F.concat(F.lit("k"), text("user_id"), F.lit("-"), k).alias("raw")))
     )
-    return raw.select("raw", tx.normalize_ticker(F.col("raw")).alias("ticker"))
+
+
+@query("normalize_tickers", TICKERS_SQL)
+def normalize_tickers(d: Data) -> DataFrame:
+    return raw_tickers(d).select("raw", tx.normalize_ticker(F.col("raw")).alias("ticker"))
+
+
+@query(
+    "split_tickers",
+    f"SELECT CASE WHEN ticker IS NULL THEN 'rejected' ELSE 'accepted' END AS kind, coalesce(ticker, raw) AS ticker FROM ({TICKERS_SQL})",
+)
+def split_tickers(d: Data) -> DataFrame:
+    """A batch with bad tickers in two, and the sound part through the strict check."""
+    sound, bad = quality.split_tickers(raw_tickers(d), "raw")
+    accepted = quality.require_tickers(sound, "raw").select(F.lit("accepted").alias("kind"), F.col("raw").alias("ticker"))
+    return accepted.unionByName(bad.select(F.lit("rejected").alias("kind"), F.col("raw").alias("ticker")))
 
 
 @query(
@@ -380,6 +395,13 @@ def embed_queries(d: Data) -> DataFrame:
     return made.select("item_id", millionths("embedding").alias("embedding"))
 
 
+class Millionths(embed.HashingModel):
+    """Weights as whole millionths, so that both engines rank the same numbers."""
+
+    def encode(self, sentences: list[str], **options) -> np.ndarray:
+        return np.rint(super().encode(sentences, **options).astype("float32").astype("float64") * 1_000_000)
+
+
 @query(
     "semantic_search_service",
     with_ctes(
@@ -397,20 +419,10 @@ WHERE rank <= 5""",
     ),
 )
 def semantic_search_service(d: Data) -> DataFrame:
-    """Every benchmark text as a question over the embedded chunks of all documents.
-
-    Weights are cut to millionths so that both engines rank the same numbers.
-    """
-
-    def cut(df: DataFrame) -> DataFrame:
-        weights = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000))
-        return df.withColumn("embedding", weights)
-
-    keys = ["article_id", "chunk_index"]
-    chunks = cut(embed.embed(d.document_chunks(), "chunk_text", keys))
+    """Every benchmark text as a question over the embedded chunks of all documents."""
+    chunks = embed.embed(d.document_chunks(), "chunk_text", ["article_id", "chunk_index"], Millionths)
     asked = d.table("benchmark").select(F.col("item_id").alias("request_id"), F.col("text").alias("question"))
-    vectors_of = questions.embed_questions(asked).withColumnRenamed("query", "embedding")
-    hits = search.search_batch(cut(vectors_of).withColumnRenamed("embedding", "query"), chunks, 5)
+    hits = questions.semantic_news_search(asked, chunks, 5, model_factory=Millionths)
     return hits.select(
         F.col("request_id").alias("item_id"), "article_id", "chunk_index", "rank", F.round("distance", 6).alias("distance")
     )
