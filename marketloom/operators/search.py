@@ -295,7 +295,7 @@ def fit_cells(chunks: DataFrame, cells: int = 16, seed: int = 7) -> np.ndarray:
     return np.array(means.fit(features).clusterCenters())
 
 
-def search_batch_approximate(requests: DataFrame, chunks: DataFrame, centers: np.ndarray, top_k: int = 5, probes: int = 4) -> DataFrame:
+def search_batch_approximate(requests: DataFrame, chunks: DataFrame, centers: np.ndarray, top_k: int = 5, probes: int = 12) -> DataFrame:
     """Like ``search_batch``, but a question sees only the chunks in its ``probes`` nearest cells."""
     vectors = _embedded(chunks).withColumn("scopes", _nearest_cells(centers, 1)(F.col("embedding")))
     asked = requests.select("request_id", "query", _nearest_cells(centers, probes)(F.col("query")).alias("scopes"))
