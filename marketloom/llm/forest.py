@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from math import ceil, log2
+from math import sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -16,20 +16,23 @@ from marketloom.llm.components import components
 
 TREES, LEAF = 12, 256
 SAMPLE = 20_000  # most vectors the trees are fitted on
-SPILL = 0.08  # share of a node's spread on either side of a split that goes both ways
+SPILL = 0.5  # half-width of what goes both ways at a split, in standard deviations of a barely linked pair's difference
+SAVING = 0.85  # a split is made if its two sides need at most this share of the node's comparisons
+CUTS = np.arange(0.05, 0.951, 0.025)  # quantiles tried as thresholds
+DEPTH = 60  # node numbers are bigints
 COSINE = 0.95
 PART = 2048  # vectors of a leaf compared with so many at a time
 
 
 @dataclass
 class Tree:
-    """Splits by node number (children 2n and 2n + 1 of node n): threshold and half-width of the spill.
-    Directions come from the tree's seed and the node's number."""
+    """Splits by node number (children 2n and 2n + 1 of node n): the threshold; ``spill`` on either side of it
+    goes both ways. Directions come from the tree's seed and the node's number."""
 
     seed: int
     size: int
-    depth: int
-    cuts: dict[int, tuple[float, float]]
+    spill: float
+    cuts: dict[int, float]
 
     def direction(self, node: int) -> np.ndarray:
         d = np.random.default_rng((self.seed, node)).standard_normal(self.size)
@@ -43,27 +46,37 @@ class Tree:
             node, rows = todo.pop()
             if not len(rows):
                 continue
-            if node >> self.depth or node not in self.cuts:
+            if node not in self.cuts:
                 out_rows.append(rows)
                 out_leaves.append(np.full(len(rows), node, np.int64))
                 continue
-            cut, spill = self.cuts[node]
+            cut = self.cuts[node]
             p = x[rows] @ self.direction(node)
-            todo += [(2 * node, rows[p <= cut + spill]), (2 * node + 1, rows[p > cut - spill])]
+            todo += [(2 * node, rows[p <= cut + self.spill]), (2 * node + 1, rows[p > cut - self.spill])]
         return np.concatenate(out_rows or [np.zeros(0, np.int64)]), np.concatenate(out_leaves or [np.zeros(0, np.int64)])
 
 
-def fit_tree(sample: np.ndarray, seed: int, depth: int) -> Tree:
-    """Recursive random splits at the sample's median. A node that too little of the sample reaches is a leaf."""
-    tree = Tree(seed, sample.shape[1], depth, {})
+def fit_tree(sample: np.ndarray, seed: int, leaf: float, cosine: float) -> Tree:
+    """Recursive random splits of the sample, each where its two sides, spill included, need the fewest comparisons:
+    beside a dense group and not through it. A node with at most ``leaf`` of the sample is a leaf, and so is one
+    that no threshold divides with enough saved, which holds for a group as narrow as the linked pairs themselves."""
+    size = sample.shape[1]
+    tree = Tree(seed, size, SPILL * sqrt(max(0.0, 2 - 2 * cosine) / size), {})
     todo = [(1, np.arange(len(sample)))]
     while todo:
         node, rows = todo.pop()
-        if node >> depth or len(rows) < 16:
+        if node >> DEPTH or len(rows) < 16 or len(rows) <= leaf:
             continue
         p = sample[rows] @ tree.direction(node)
-        cut, spread = float(np.median(p)), float(p.std())
-        tree.cuts[node] = (cut, SPILL * spread)
+        ordered = np.sort(p)
+        cuts = np.quantile(ordered, CUTS)
+        left = np.searchsorted(ordered, cuts + tree.spill, side="right")
+        right = len(rows) - np.searchsorted(ordered, cuts - tree.spill, side="right")
+        cost = left.astype(float) ** 2 + right.astype(float) ** 2
+        best = int(cost.argmin())
+        if cost[best] > SAVING * len(rows) ** 2:
+            continue
+        cut = tree.cuts[node] = float(cuts[best])
         todo += [(2 * node, rows[p <= cut]), (2 * node + 1, rows[p > cut])]
     return tree
 
@@ -123,7 +136,8 @@ def near_vectors(
     """(vec_id, n_links, component_id, kept) for every vector id.
 
     Equal vectors are one class from the start, whatever its size. Trees are fitted on at most
-    ``sample_rows`` classes (those with the smallest hash) and every class is planted in each of them. A
+    ``sample_rows`` classes (those with the smallest hash) and every class is planted in each of them. What goes
+    both ways at a split depends on the link distance alone, and a group too narrow to be split stays one leaf. A
     leaf with more than ``PART`` members is compared part by part, each pair of parts a group of its own,
     so no task holds a whole large leaf, and nothing is left out. All links found are verified in
     double precision; pairs that never share a leaf are missed (see README for the measured recall).
@@ -148,8 +162,7 @@ def near_vectors(
         by_size.setdefault(len(r["v"]), []).append(r["v"])
     size = max(by_size, key=lambda s: (len(by_size[s]), s), default=1)
     known = _unit(np.array(by_size.get(size, [[1.0]]), float))
-    depth = max(0, ceil(log2(max(n, 1) / leaf)))
-    forest = [fit_tree(known, 1000 + t, depth) for t in range(trees)]
+    forest = [fit_tree(known, 1000 + t, leaf * len(sample) / max(n, 1), cosine) for t in range(trees)]
 
     planted = staged(points.mapInArrow(partial(_plant, forest=forest), "tree int, leaf bigint, id bigint, v array<double>"), "planted")
     sizes = planted.groupBy("tree", "leaf").agg(F.count("*").alias("n")).filter("n > 1")

@@ -168,6 +168,23 @@ def test_vectors(spark):
     assert got == {i: (sum(a == i for a, _ in links), root[i]) for i in ids}
 
 
+def test_vectors_in_a_large_group(spark):
+    """A third of the rows is one group of distinct near copies around the bound: every link inside it is found."""
+    import numpy as np
+
+    from marketloom.llm.forest import near_vectors
+
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2400, 64))
+    x[::3] = rng.standard_normal(64) + 0.2 * rng.standard_normal((800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert 200_000 < want.sum() < 600_000  # some pairs of the group are linked, some not
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors(table, leaf=16).collect()}
+    assert got == dict(enumerate(want.tolist()))
+
+
 def test_toxicity_separates_held_out_rows(spark):
     import __spark_entry__ as e
 
