@@ -22,17 +22,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies, that with the smallest id."""
+    """One document of every group of near copies, that with the smallest id, and one row of those that repeat an id
+    and a text. Rows that repeat an id with other texts stay or go together. Rows without an id are compared with
+    nothing and all stay."""
+    docs = docs.select(*COLUMNS)
     kept = minhash.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    named = docs.filter("doc_id is not null")
+    again = named.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    again = staged(again, "again")
+    rest = F.min(F.struct("lang", "source", "n_chars")).alias("rest")
+    one = named.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(rest).select("doc_id", "text", "rest.*")
+    rows = named.join(again, "doc_id", "left_anti").unionByName(one)
+    return rows.join(kept, "doc_id", "left_semi").select(*COLUMNS).unionAll(docs.filter("doc_id is null"))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages an earlier one has. Bytes of a character that was cut apart go, too;
-    n_chars follows the text. A document that loses all its bytes stays with an empty text."""
+    n_chars follows the text. A document that loses all its bytes stays with an empty text, and so does a null
+    text. Rows without an id come neither before nor after others and keep their text."""
     done = suffix.remove_repeats(docs, carry=("lang", "source"))
     text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.regexp_replace(F.col("kept").cast("string"), "�", ""))
-    return done.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    unnamed = docs.filter("doc_id is null").withColumn("text", F.coalesce("text", F.lit(""))).select(*COLUMNS)
+    rows = done.withColumn("text", text).withColumn("n_chars", F.lit(None).cast("bigint")).select(*COLUMNS).unionAll(unnamed)
+    return rows.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

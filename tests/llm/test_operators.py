@@ -248,3 +248,25 @@ def test_pipeline_stages_on_odd_tables(spark, docs):
         assert {r.doc_id for r in out.collect()} == {1, 2, 3, 4}, name
         assert stage(spark, odd.limit(0), SF).count() == 0, name
     assert C.STAGES[-1][1](spark, odd.limit(0), SF).count() == 0
+
+
+def test_pipeline_keeps_rows_without_id_and_one_of_repeated_rows(spark):
+    import corpus_pipeline as C
+
+    rows = [
+        (1, LONG, "en", "a", 1), (1, LONG, "en", "b", 1), (2, "one two", "en", "a", 7), (2, "three four", "en", "a", 10),
+        (3, LONG, "en", "a", 1), (4, None, "en", "a", None), (4, None, "en", "a", None),
+        (None, LONG, "en", "a", 1), (None, LONG, "en", "a", 1), (None, None, "en", "a", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    near = C.drop_near_copies(spark, docs, SF)
+    texts = [(1, LONG), (2, "one two"), (2, "three four"), (4, None), (None, LONG), (None, LONG), (None, None)]
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=key) == sorted(texts, key=key)
+    done = C.drop_repeats(spark, near, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in done), key=key) == sorted(((i, t or "") for i, t in texts), key=key)
+    assert all(r.n_chars == len(r.text) for r in done)
+    unnamed = docs.filter("doc_id is null")
+    for name, stage in C.STAGES:  # each stage by itself, over nothing but such rows
+        out = [r.doc_id for r in stage(spark, unnamed, SF).collect() if name != "packing" or r.start == 0]
+        assert out == [None] * 3, name
