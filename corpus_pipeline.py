@@ -37,13 +37,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages an earlier one has. Bytes of a character that was cut apart go, too;
+    """Documents without the passages an earlier one has. Bytes of a character that was cut apart go, too, and no others;
     n_chars follows the text. A document that loses all its bytes stays with an empty text, and so does a null
     text. Rows without an id come neither before nor after others and keep their text."""
-    done = suffix.remove_repeats(docs, carry=("lang", "source"))
-    text = F.when(F.col("n_removed") == 0, F.col("kept").cast("string")).otherwise(F.regexp_replace(F.col("kept").cast("string"), "�", ""))
+    done = suffix.remove_repeats(docs, carry=("lang", "source"), whole=True).withColumn("text", F.col("kept").cast("string"))
     unnamed = docs.filter("doc_id is null").withColumn("text", F.coalesce("text", F.lit(""))).select(*COLUMNS)
-    rows = done.withColumn("text", text).withColumn("n_chars", F.lit(None).cast("bigint")).select(*COLUMNS).unionAll(unnamed)
+    rows = done.withColumn("n_chars", F.lit(None).cast("bigint")).select(*COLUMNS).unionAll(unnamed)
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

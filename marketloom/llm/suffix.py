@@ -307,7 +307,17 @@ def covered_bytes(size: int, codes: list[int], refs: list[int]) -> np.ndarray:
     return np.cumsum(edge[:size]) > 0
 
 
-def _remove(batches: Iterator[pa.RecordBatch], schema: pa.Schema, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with the other bytes of every UTF-8 character that loses some."""
+    at = np.arange(len(text))
+    start = (text & 0xC0) != 0x80
+    lead = np.maximum.accumulate(np.where(start, at, 0))
+    size = 1 + (text >= 0xC2) + (text >= 0xE0) + (text >= 0xF0)
+    char = np.cumsum(start | (at - lead >= size[lead]))  # a stray byte is by itself
+    return (np.bincount(char, weights=gone) > 0)[char]
+
+
+def _remove(batches: Iterator[pa.RecordBatch], schema: pa.Schema, carried: list[str], whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = as_bytes(batch.column("text"))
         out: tuple[list, ...] = ([], [], [], [])
@@ -315,6 +325,8 @@ def _remove(batches: Iterator[pa.RecordBatch], schema: pa.Schema, carried: list[
             starts, ends, kept = [], [], text
             if codes:
                 gone = covered_bytes(len(text), codes, refs)
+                if whole:
+                    gone = whole_characters(np.frombuffer(text, np.uint8), gone)
                 step = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
                 starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -326,9 +338,12 @@ def _remove(batches: Iterator[pa.RecordBatch], schema: pa.Schema, carried: list[
         )
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, carry: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text", whole: bool = False
+) -> DataFrame:
     """(doc_id, .. carried columns, n_bytes, n_removed, spans array<struct<start, end>>, kept binary): every
-    document with the bytes covered by a LENGTH-byte string that also starts in a document of smaller id removed.
+    document with the bytes covered by a LENGTH-byte string that also starts in a document of smaller id removed;
+    with ``whole``, also the other bytes of a character of which some are.
 
     Null and empty texts have no bytes; texts shorter than LENGTH lose nothing. Rows without an id are left out. Rows
     that repeat an id and a text get that document's result each; an id never counts as smaller than itself. Columns
@@ -364,7 +379,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), id_col: str = "
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", spans), ("kept", pa.binary())])
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     out = joined.mapInArrow(
-        partial(_remove, schema=schema, carried=carried),
+        partial(_remove, schema=schema, carried=carried, whole=whole),
         f"{kinds}, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary",
     )
     return out.withColumnsRenamed({n: c for c, n in names.items()})

@@ -270,3 +270,27 @@ def test_pipeline_keeps_rows_without_id_and_one_of_repeated_rows(spark):
     for name, stage in C.STAGES:  # each stage by itself, over nothing but such rows
         out = [r.doc_id for r in stage(spark, unnamed, SF).collect() if name != "packing" or r.start == 0]
         assert out == [None] * 3, name
+
+
+def test_pipeline_keeps_replacement_characters(spark):
+    """Of the text around a removed passage only what is left of characters that were cut apart goes."""
+    import corpus_pipeline as C
+
+    passage = " ".join(WORDS[:30])
+    # \u00e4 and \u00e5 share their first byte, \u00e9 and \U0001f4a9 their last one, so both repeats end inside a character
+    rows = [
+        (1, f"\u00e4{passage}\u00e4"), (2, f"\ufffd one \ufffd\u00e5{passage}\u00e5\ufffd two \ufffd"),
+        (3, f"\u00e9{passage[::-1]}."), (4, f"\ufffd\U0001f4a9{passage[::-1]}.\ufffd"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' lang", "'a' source", "1L n_chars")
+    got = {r.doc_id: (r.text, r.n_chars) for r in C.drop_repeats(spark, docs, SF).collect()}
+    want = dict(rows[:1] + rows[2:3]) | {2: "\ufffd one \ufffd\u00e5\ufffd two \ufffd", 4: "\ufffd\ufffd"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+    import numpy as np
+
+    from marketloom.llm.suffix import whole_characters
+
+    text = np.frombuffer("a\u00e4\u20ac\U0001f4a9b".encode() + b"\x80", np.uint8)
+    for cut, out in ((0, [0]), (2, [1, 2]), (3, [3, 4, 5]), (9, [6, 7, 8, 9]), (10, [10]), (11, [11])):
+        assert np.flatnonzero(whole_characters(text, np.arange(len(text)) == cut)).tolist() == out
