@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketloom.llm import bpe, forest, html, licenses, minhash, packing, sharding, suffix, topk, toxicity
+from marketloom.llm import bpe, forest, html, licenses, minhash, packing, resample, sharding, suffix, topk, toxicity, urls
 from marketloom.llm.common import table
 from marketloom.session import apply_runtime_conf
 
@@ -69,6 +69,20 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# The rules the query's contract lists.
+URL_RULES = (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -121,7 +135,7 @@ FROM embeddings LEFT JOIN d ON d.a = vec_id LEFT JOIN c ON c.n = vec_id"""
 
 _BUILDS = [
     op1_minhash_dedup, op2_suffix_dedup, op3_sharding, op4_toxicity, op5_license_scan, op6_bpe, op7_html_text,
-    op8_packing, op9_topk, op10_vector_dedup, pipeline,
+    op8_packing, op9_topk, op10_vector_dedup, op12_url_filter, op13_resample, pipeline,
 ]
 
 
