@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketloom.llm import bpe, forest, html, licenses, minhash, packing, resample, sharding, suffix, topk, toxicity, urls
+from marketloom.llm import align, bpe, forest, html, licenses, minhash, packing, resample, sharding, suffix, topk, toxicity, urls
 from marketloom.llm.common import table
 from marketloom.session import apply_runtime_conf
 
@@ -69,6 +69,11 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, sf_dir, "documents"), *paths)
+
+
 # The rules the query's contract lists.
 URL_RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
@@ -135,7 +140,7 @@ FROM embeddings LEFT JOIN d ON d.a = vec_id LEFT JOIN c ON c.n = vec_id"""
 
 _BUILDS = [
     op1_minhash_dedup, op2_suffix_dedup, op3_sharding, op4_toxicity, op5_license_scan, op6_bpe, op7_html_text,
-    op8_packing, op9_topk, op10_vector_dedup, op12_url_filter, op13_resample, pipeline,
+    op8_packing, op9_topk, op10_vector_dedup, op11_align, op12_url_filter, op13_resample, pipeline,
 ]
 
 
