@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marketloom.llm.bpe import Units
 from marketloom.llm.common import staged
+from marketloom.llm.filetokens import FileTokens
 
 LONG = 32_768  # bytes of a text beyond which its ranges go to tasks of their own
 STEP = 16_384  # characters of a range
@@ -25,30 +25,20 @@ GROUP = 4096  # links of a group up to which they are listed; larger groups are
 # Letters whose class no Unicode version disputes, and what may follow them in a pre-token of its own.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁぁ-ゖァ-ヺ一-龥가-힣"
 _CUT_A = re.compile(f"[{_LETTER}](?=[.,;:!?\"()\\-。、，]| [{_LETTER}])")
-_UNIT = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
-class ByteTokens(Units):
+class ByteTokens(FileTokens):
     """Ids of a tokenizer file of the byte-level kind, strings of special tokens being plain text."""
 
-    room = 1_000_000
-
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tool = Tokenizer.from_file(path)
-        self.tool.encode_special_tokens = True
+        super().__init__(path, specials=False)
         self.sizes = np.zeros(self.tool.get_vocab_size(), np.int64)
         for token, i in self.tool.get_vocab().items():
             self.sizes[i] = len(token)  # one character a byte
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     def read(self, text: str, start: int, size: int) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and ends of the tokens of ``text``, whose ``size`` bytes begin at ``start``; None if the tokens aren't those bytes."""
-        ids = np.frombuffer(self.encode(text), "<u4").astype(np.int64)
+        ids = np.array(self.ids(text), np.int64)
         ends = np.cumsum(self.sizes[ids]) + start
         return (ids, ends) if (ends[-1] if len(ends) else start) == start + size else None
 
@@ -60,9 +50,7 @@ class ByteTokens(Units):
 
 class PieceTokens:
     """Ids of a sentencepiece model that keeps its text and puts a space before it. A merged piece is a piece, so a
-    text can be cut wherever no piece holds the two characters beside the cut; its units are the runs from space to space."""
-
-    room = 1_000_000
+    text can be cut wherever no piece holds the two characters beside the cut."""
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -76,30 +64,20 @@ class PieceTokens:
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
         plain = [p.replace("▁", " ") for i, p in enumerate(names) if not (self.tool.is_byte(i) or self.tool.is_control(i) or self.tool.is_unknown(i))]
         self.joined = {p[i : i + 2] for p in plain for i in range(len(p) - 1)}
-        self.lead = self.tool.encode("\n")
-        self.units: dict[str, bytes | None] = {}
-        if any(x[0] != " " and x[1] == " " or "\n" in x for x in self.joined) or self.tool.decode(self.lead) != "\n":
-            raise ValueError("The model has pieces that reach over a space or a line's end.")
-
-    def _unit(self, unit: str) -> bytes | None:
-        if unit[0] == " " and unit != " ":
-            ids = self.tool.encode(unit[1:])
+        self.lead = self.tool.encode("\n")  # a line's end, which no piece goes over, stands in for the text before a cut
+        if any("\n" in x for x in self.joined) or self.tool.decode(self.lead) != "\n":
+            raise ValueError("The model has pieces that reach over a line's end.")
+
+    def read(self, text: str, start: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """As of ``ByteTokens``; None if the tokens aren't the text (U+2581 becomes a shorter space)."""
+        if text[:1] == " " and len(text) > 1:
+            ids = self.tool.encode(text[1:])
         else:
-            ids = self.tool.encode("\n" + unit)[len(self.lead) :]
-        same = b"".join(map(self.bytes.__getitem__, ids)) == unit.encode()
-        out = np.array(ids, "<u4").tobytes() if same else None
-        if len(unit) < 64 and len(self.units) < self.room:
-            self.units[unit] = out
-        return out
-
-    def read(self, text: str, start: int, size: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """As of ``ByteTokens``; None also if a unit isn't made of its own bytes (U+2581, which becomes a shorter space)."""
-        known = self.units
-        found = [known[u] if u in known else self._unit(u) for u in _UNIT.findall(text)]
-        if None in found:
+            ids = self.tool.encode("\n" + text)[len(self.lead) :] if text else []
+        if b"".join(map(self.bytes.__getitem__, ids)) != text.encode():
             return None
-        ids = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
-        return ids, np.cumsum(self.sizes[ids]) + start
+        found = np.array(ids, np.int64)
+        return found, np.cumsum(self.sizes[found]) + start
 
     def cut(self, text: str, at: int) -> int:
         at, n = max(at, 1), len(text)
@@ -228,7 +206,7 @@ class Fragment:
 def _range(text_a: str, start_a: int, text_b: str, start_b: int, path_a: str, path_b: str) -> Fragment:
     tool_a, tool_b = _tools(path_a, path_b)
     a = tool_a.read(text_a, start_a, len(text_a.encode()))
-    b = tool_b.read(text_b, start_b, 0)
+    b = tool_b.read(text_b, start_b)
     return Fragment.of((*a, *b)) if a and b else Fragment(sound=False)
 
 

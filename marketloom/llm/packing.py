@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from marketloom.llm.bpe import Units
+from marketloom.llm.filetokens import FileTokens
 
 LENGTH, SEGMENTS = 2048, 512
 BLOCK = 384  # remainders that are packed together
@@ -21,24 +21,9 @@ SCHEMA = (
 )
 
 
-class Tokens(Units):
-    """Units resolved by a tokenizer file. Strings of special tokens count as it takes them."""
-
-    room, mark = 1_000_000, "<|"
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tool = Tokenizer.from_file(path)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokens:
-    return Tokens(path)
+def tokenizer(path: str) -> FileTokens:
+    return FileTokens(path)
 
 
 class Packer:
