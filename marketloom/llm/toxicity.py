@@ -16,8 +16,12 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from marketloom.llm.common import staged
 
 SAMPLE = 20_000  # most labelled rows that are learned from
-ENTRIES, LEXICONS = 64, 16  # most learned lexicon entries, dealt to so many voters
+ENTRIES = 256  # most learned lexicon entries
+CANDIDATES = 4096  # most candidates that are compared with each other, the most frequent in toxic rows
+OWN, SHARED = 48, 8  # the first entries vote each for itself, the others are dealt to so many voters
+LEAST, PURITY, RATIO = 5, 0.85, 20.0  # an entry's toxic rows, the toxic share of its rows, and how much more often toxic rows have it
 STEMS = (4, 5, 6)  # word beginnings that may become entries, besides whole words
+ROUNDS = 12
 CUT = 0.7
 
 # A general lexicon of insults in four languages.
@@ -29,7 +33,9 @@ GENERAL = frozenset(
 _WORD = re.compile(r"[^\W\d_]+")
 _ATTACK = re.compile(r"\b(?:you are|you're|du bist|tu es|eres)\s+(?:an?|ein|eine|une?)\b", re.I)
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
-VOTERS = LEXICONS + 4
+PATTERNS = 4  # general lexicon, two or more insults, form of attack, shouting
+VOTERS = OWN + SHARED + PATTERNS
+LEXICONS = OWN + SHARED
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -48,31 +54,37 @@ class Voters:
         self.words = {e[1:]: i for i, e in enumerate(self.entries) if e[0] == "="}
         self.stems = {n: {e[1:]: i for i, e in enumerate(self.entries) if e[0] == "^" and len(e) == n + 1} for n in STEMS}
 
-    def read(self, text: str) -> tuple[int, np.ndarray]:
-        """The votes as bits, and the classifier's inputs. A voter that doesn't fire abstains."""
+    def read(self, text: str) -> tuple[int, list[int], int]:
+        """The votes as bits, the entries that the text has, and its insults. A voter that doesn't fire abstains."""
         words = set(_WORD.findall(text.lower()))
-        x = np.zeros(ENTRIES + VOTERS + 1)
-        hits = set()
-        for w in words & self.words.keys():
-            hits.add(w)
-            x[self.words[w]] = 1
+        hits = words & self.words.keys()
+        entries = [self.words[w] for w in hits]
         for n, stems in self.stems.items():
-            if stems:
-                for w in words:
-                    if w[:n] in stems:
-                        hits.add(w)
-                        x[stems[w[:n]]] = 1
+            for stem in stems.keys() & {w[:n] for w in words}:
+                entries.append(stems[stem])
+                hits.update(w for w in words if w[:n] == stem)
         bits = 0
-        for i in np.flatnonzero(x[:ENTRIES]):
-            bits |= 1 << int(i % LEXICONS)
+        for i in entries:
+            bits |= 1 << (i if i < OWN else OWN + i % SHARED)
         general = words & GENERAL
         found = len(hits | general)
         for k, fired in enumerate((bool(general), found > 1, bool(_ATTACK.search(text)), len(_SHOUT.findall(text)) > 4)):
             bits |= fired << (LEXICONS + k)
-        for k in range(VOTERS):
-            x[ENTRIES + k] = bits >> k & 1
-        x[-1] = np.log1p(found)
-        return bits, x
+        return bits, entries, found
+
+
+def votes_of(patterns: np.ndarray) -> np.ndarray:
+    return (patterns.reshape(-1, 1) >> np.arange(VOTERS) & 1).astype(float)
+
+
+def inputs(read: list[tuple[int, list[int], int]]) -> np.ndarray:
+    """The classifier's inputs: entries, voters, and the logarithm of the number of insults."""
+    x = np.zeros((len(read), ENTRIES + VOTERS + 1))
+    x[:, ENTRIES:-1] = votes_of(np.array([b for b, _, _ in read], np.int64))
+    for row, (_, entries, found) in zip(x, read):
+        row[entries] = 1
+        row[-1] = np.log1p(found)
+    return x
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,9 +110,31 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def choose_entries(found: list[tuple[str, int, int]]) -> list[str]:
+    """Of candidates (entry, toxic rows, other rows) that say the same one stays, and only then the most frequent are taken.
+
+    A beginning gives way to a longer entry that is purer and keeps nine tenths of its toxic rows; the entries it covers go.
+    """
+    rows = sorted(found, key=lambda x: (len(x[0]), x[0][0] != "^", x[0]))
+    kept: list[tuple[str, int]] = []
+    stems: set[str] = set()
+    for entry, toxic, clean in rows:
+        body = entry[1:]
+        if any(body[:n] in stems for n in STEMS if n <= len(body)):
+            continue
+        better = entry[0] == "^" and any(
+            e != entry and e[1:].startswith(body) and 10 * t >= 9 * toxic and (c + 1) * toxic < (clean + 1) * t for e, t, c in rows
+        )
+        if not better:
+            kept.append((entry, toxic))
+            if entry[0] == "^":
+                stems.add(body)
+    kept.sort(key=lambda x: (-x[1], x[0]))
+    return [e for e, _ in kept[:ENTRIES]]
+
+
 def learn_lexicon(sample: DataFrame) -> list[str]:
-    """Entries that at least one in 50 toxic texts has and that are 20 times as frequent there as in the
-    others, most frequent first. Of entries that say the same, the shortest beginning stays."""
+    """Words and word beginnings that at least LEAST toxic rows have, hardly any others, the most frequent first."""
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic:
@@ -108,80 +142,113 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
     found = (
         sample.select("text", "toxic").mapInArrow(_candidates, "entry string, toxic bigint, clean bigint")
         .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter((F.col("toxic") >= max(3, toxic / 50)) & (F.col("toxic") / toxic >= 20 * (F.col("clean") + 0.5) / (clean + 1)))
-        .orderBy(F.desc("toxic"), F.length("entry"), "entry").limit(4 * ENTRIES).collect()
+        .filter((F.col("toxic") >= LEAST) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
+        .filter(F.col("toxic") / toxic >= RATIO * (F.col("clean") + 0.5) / (clean + 1))
+        .orderBy(F.desc("toxic"), F.length("entry"), "entry").limit(CANDIDATES).collect()
     )
-    kept: list[tuple[str, int]] = []
-    for entry, count in sorted(((r["entry"], r["toxic"]) for r in found), key=lambda x: (len(x[0]), x[0])):
-        if not any(e[0] == "^" and entry[1:].startswith(e[1:]) for e, _ in kept):
-            kept.append((entry, count))
-    kept.sort(key=lambda x: (-x[1], x[0]))
-    return [e for e, _ in kept[:ENTRIES]]
+    return choose_entries([(r["entry"], r["toxic"], r["clean"]) for r in found])
 
 
 @dataclass
 class LabelModel:
-    """P(voter fires | class) per voter, how much each fired vote counts, the prior and the weight of silence."""
+    """Log odds of the classes, of a fired vote, of a fired vote whose parent in the tree of correlations fired, too, and of silence.
+
+    Voters that repeat each other are neighbours in that tree: what both say counts once, as far as the second
+    vote is explained by the first in either class. Votes of voters that aren't neighbours add up.
+    """
 
     prior: float
-    fires: np.ndarray  # 2 x voters
-    silent: np.ndarray  # 2
-    share: np.ndarray  # voters; below 1 where votes are correlated within the classes
+    fired: np.ndarray
+    parent: np.ndarray
+    after: np.ndarray
+    silent: float
+
+    def logits(self, votes: np.ndarray) -> np.ndarray:
+        again = votes * votes[:, self.parent] * (self.parent != np.arange(VOTERS))
+        return self.prior + votes @ self.fired + again @ (self.after - self.fired) + (votes.sum(axis=1) == 0) * self.silent
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        logit = np.log(self.prior / (1 - self.prior)) + votes @ (self.share * np.log(self.fires[1] / self.fires[0]))
-        logit = logit + (votes.sum(axis=1) == 0) * np.log(self.silent[1] / self.silent[0])
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-
-
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, known: np.ndarray, rounds: int = 30) -> LabelModel:
-    """Expectation-maximisation over vote patterns. ``counts`` holds how many documents have each pattern,
-    ``known`` (patterns x 2) how many labelled rows of either class do; those keep their class."""
-    labelled = known.sum(axis=0)
-    prior = float(np.clip((labelled[1] + 0.5) / (labelled.sum() + 1), 1e-3, 0.5))
-    share = np.ones(votes.shape[1])
-    quiet = votes.sum(axis=1) == 0
-
-    def maximise(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total = mass.sum(axis=0)[:, None] + 2
-        fires = np.clip((mass.T @ votes + 0.1) / total, 1e-5, 1 - 1e-5)
-        silent = np.clip((mass[quiet].sum(axis=0) + 0.1) / total[:, 0], 1e-5, 1)
-        return fires, silent
-
-    fires, silent = maximise(known)
-    model = LabelModel(prior, fires, silent, share)
-    free = np.maximum(counts - known.sum(axis=1), 0)
-    for _ in range(rounds):
-        p = model.posterior(votes)
-        mass = known + free[:, None] * np.stack([1 - p, p], axis=1)
-        fires, silent = maximise(mass)
-        # votes that fire together beyond what the class explains share one vote's weight
-        excess = np.zeros((votes.shape[1], votes.shape[1]))
-        for c in (0, 1):
-            w = mass[:, c] / max(mass[:, c].sum(), 1)
-            centred = votes - w @ votes
-            cov = (centred * w[:, None]).T @ centred
-            sd = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-            excess = np.maximum(excess, np.abs(cov / np.outer(sd, sd)))
-        np.fill_diagonal(excess, 0)
-        share = 1 / (1 + np.where(excess > 0.1, excess, 0).sum(axis=1))
-        model = LabelModel(float(np.clip(mass[:, 1].sum() / max(mass.sum(), 1), 1e-3, 0.5)), fires, silent, share)
+        return 1 / (1 + np.exp(-np.clip(self.logits(votes), -30, 30)))
+
+
+def _tree(rates: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Each voter's parent in the tree of the largest dependence within the classes (a root is its own parent)."""
+    weight = np.zeros((VOTERS, VOTERS))
+    for p, j in zip(rates, both):
+        for a, b, cell in ((p, p, j), (p, 1 - p, p[:, None] - j), (1 - p, p, p[None, :] - j), (1 - p, 1 - p, 1 - p[:, None] - p[None, :] + j)):
+            cell = np.clip(cell, 1e-12, None)
+            weight += cell * np.log(cell / np.clip(np.outer(a, b), 1e-12, None))
+    parent = np.arange(VOTERS)
+    inside = np.zeros(VOTERS, bool)
+    inside[0] = True
+    best, near = weight[0].copy(), np.zeros(VOTERS, int)
+    for _ in range(VOTERS - 1):
+        k = int(np.where(inside, -np.inf, best).argmax())
+        parent[k], inside[k] = near[k], True
+        closer = weight[k] > best
+        best, near = np.where(closer, weight[k], best), np.where(closer, k, near)
+    return parent
+
+
+def maximise(mass: np.ndarray, ones: np.ndarray, pairs: np.ndarray, quiet: np.ndarray) -> LabelModel:
+    """The model of (expected) counts: rows per class, rows a voter fires in, rows two voters fire in, rows without any vote."""
+    total = mass[:, None] + 2
+    rate = (ones + 0.1) / total
+    joint = pairs / total[:, :, None]
+    parent = _tree(rate, joint)
+    own = np.arange(VOTERS)
+    # a pair seen in few rows of a class counts as independent there
+    after = (pairs[:, own, parent] + 5 * rate) / (ones[:, parent] + 5)
+    silent = (quiet + 0.1) / total[:, 0]
+    prior = float(np.clip(mass[1] / max(mass.sum(), 1e-9), 1e-3, 0.5))
+    return LabelModel(
+        float(np.log(prior / (1 - prior))), np.log(rate[1] / rate[0]), parent, np.log(np.clip(after[1], 1e-6, 1) / np.clip(after[0], 1e-6, 1)),
+        float(np.log(silent[1] / silent[0])),
+    )
+
+
+def _expect(batches: Iterator[pa.RecordBatch], model: LabelModel | None) -> Iterator[pa.RecordBatch]:
+    """One task's expected counts; labelled rows keep their class, and without a model they are the only ones."""
+    sums = np.zeros(2 + 2 * VOTERS + 2 * VOTERS * VOTERS + 2)
+    for batch in batches:
+        pattern, n, clean, toxic = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        votes = votes_of(pattern.astype(np.int64))
+        mass = np.stack([clean, toxic]).astype(float)
+        if model is not None:
+            p = model.posterior(votes)
+            mass += np.maximum(n - clean - toxic, 0) * np.stack([1 - p, p])
+        quiet = votes.sum(axis=1) == 0
+        pairs = [(votes * m[:, None]).T @ votes for m in mass]
+        sums += np.concatenate([mass.sum(axis=1), (mass @ votes).ravel(), np.ravel(pairs), mass[:, quiet].sum(axis=1)])
+    yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
+
+def fit_label_model(patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
+    """Expectation-maximisation over patterns(pattern, n, clean, toxic): all rows that vote so, and labelled ones of either class.
+    Every round is one pass over the patterns, of which a task sends one row of sums."""
+    model = None
+    for _ in range(rounds + 1):
+        rows = patterns.mapInArrow(partial(_expect, model=model), "sums binary").collect()
+        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], axis=0) if rows else np.zeros(4 + 2 * VOTERS + 2 * VOTERS**2)
+        mass, ones, pairs, quiet = np.split(sums, np.cumsum([2, 2 * VOTERS, 2 * VOTERS * VOTERS]))
+        if model is None:
+            mass = mass + [0.5, 0.5]  # without labels the classes begin even
+        model = maximise(mass, ones.reshape(2, -1), pairs.reshape(2, VOTERS, VOTERS), quiet)
     return model
 
 
-def fit_linear(x: np.ndarray, target: np.ndarray, rounds: int = 400, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient steps."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    if not len(x):
-        return w, -4.0
-    step = 1 / (0.25 * ((x**2).sum(axis=1).max() + 1) + ridge)
-    vw, vb = w.copy(), b
-    for t in range(rounds):
-        error = 1 / (1 + np.exp(-np.clip(x @ vw + vb, -30, 30))) - target
-        nw, nb = vw - step * (x.T @ error / len(x) + ridge * vw), vb - step * error.mean()
-        k = t / (t + 3)
-        vw, vb, w, b = nw + k * (nw - w), nb + k * (nb - b), nw, nb
-    return w, float(b)
+def fit_linear(x: np.ndarray, target: np.ndarray, start: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> np.ndarray:
+    """Weights (the bias last) of a logistic regression on soft labels, by Newton steps. What the rows don't say stays near ``start``."""
+    z = np.column_stack([x, np.ones(len(x))])
+    w = start.copy()
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        slope = z.T @ (p - target) + ridge * (w - start)
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w)), slope)
+        w -= step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
 
 
 @dataclass
@@ -192,20 +259,30 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
+        entry, vote, many = np.split(self.weights, [ENTRIES, ENTRIES + VOTERS])
         out = np.full(len(texts), self.bias)
         for i, text in enumerate(texts):
             if text:
-                out[i] += self.voters.read(text)[1] @ self.weights
+                bits, entries, found = self.voters.read(text)
+                if bits:
+                    fired = [k for k in range(VOTERS) if bits >> k & 1]
+                    out[i] += entry[entries].sum() + vote[fired].sum() + many[0] * np.log1p(found)
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 def _patterns(batches: Iterator[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        out = [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(out, ["pattern", "n"])
+
     for batch in batches:
         counts.update(voters.read(t or "")[0] for t in batch.column(0).to_pylist())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["pattern", "n"]
-    )
+        if len(counts) > 300_000:
+            yield flush()
+    yield flush()
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
@@ -213,9 +290,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
 
     Labels come from at most ``sample_rows`` rows, those with the smallest hash of the id (so that
     every size takes them alike); that table's bound is what lets it be copied to the scan. The label
-    model counts the vote patterns of all documents: at most 2**20 rows reach the driver. Null labels and
+    model is fitted to the vote patterns of all documents, which stay on the executors. Null labels and
     ids are ignored; a document with several labels has the largest. Without labelled toxic rows
-    only the general lexicon and the patterns vote.
+    only the general lexicon and the patterns vote. Texts of any length are read whole, one at a time.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = (
@@ -228,26 +305,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     voters = Voters(learn_lexicon(sample))
 
     counted = docs.select("text").mapInArrow(partial(_patterns, voters=voters), "pattern bigint, n bigint")
-    counts = {r["pattern"]: r["n"] for r in counted.groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = [voters.read(t or "") for t in batch.column(0).to_pylist()]
-            xs = pa.array([x.astype(np.float32).tobytes() for _, x in seen], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in seen], pa.int64()), xs, batch.column(1)], ["pattern", "x", "toxic"])
-
-    rows = sample.select("text", "toxic").mapInArrow(read, "pattern bigint, x binary, toxic int").collect()
-    patterns = sorted(counts.keys() | {r["pattern"] for r in rows})
-    at = {p: i for i, p in enumerate(patterns)}
-    votes = (np.array(patterns, np.int64).reshape(-1, 1) >> np.arange(VOTERS) & 1).astype(float)
-    known = np.zeros((len(patterns), 2))
-    for r in rows:
-        known[at[r["pattern"]], r["toxic"]] += 1
-    model = fit_label_model(votes, np.array([counts.get(p, 0) for p in patterns], float), known)
-    targets = model.posterior(votes)
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], float).reshape(-1, ENTRIES + VOTERS + 1)
-    weights, bias = fit_linear(x, np.array([targets[at[r["pattern"]]] for r in rows]))
-    return Model(voters, model, weights, bias)
+            columns = [pa.array(c, t) for c, t in zip(zip(*seen), (pa.int64(), pa.list_(pa.int32()), pa.int32()))] if seen else []
+            if columns:
+                yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["pattern", "entries", "found", "toxic"])
+
+    known = staged(
+        sample.select("text", "toxic").mapInArrow(read, "pattern bigint, entries array<int>, found int, toxic int"), "known"
+    )
+    of = [F.count_if(F.col("toxic") == y).alias(name) for y, name in ((0, "clean"), (1, "toxic"))]
+    none = F.lit(0).cast("bigint")
+    patterns = (
+        counted.select("pattern", "n", none.alias("clean"), none.alias("toxic"))
+        .unionAll(known.groupBy("pattern").agg(*of).select("pattern", none.alias("n"), "clean", "toxic"))
+        .groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    )
+    model = fit_label_model(staged(patterns, "patterns"))
+    rows = known.collect()  # at most ``sample_rows``
+    x = inputs([(r["pattern"], r["entries"], r["found"]) for r in rows])
+    # a vote that the rows hardly show weighs what the label model says
+    start = np.concatenate([np.zeros(ENTRIES), model.fired - model.silent, [0.0, model.prior + model.silent]])
+    weights = fit_linear(x, model.posterior(x[:, ENTRIES:-1]), start)
+    return Model(voters, model, weights[:-1], float(weights[-1]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", column: str = "score") -> DataFrame:
