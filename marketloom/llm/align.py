@@ -411,5 +411,5 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     # an A id's window holds at most one row per B id
     highest = F.max("count").over(Window.partitionBy("a"))
     counts = counts.withColumn("best", (F.col("count") == highest).cast("bigint")).select("pair", "count", "best")
-    found = asked.select("block", "at", "pair").join(counts, "pair").select("block", F.col("at").cast("bigint").alias("at"), "count", "best")
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_answer, ANSWER)
+    found = asked.select("block", "at", "pair").join(counts, "pair").select(F.col("block").alias("of"), F.col("at").cast("bigint").alias("at"), "count", "best")
+    return blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_answer, ANSWER)
