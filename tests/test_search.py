@@ -54,18 +54,40 @@ def test_batch_equals_brute_force(fixture):
     assert got(search.search_batch(asked, chunks, 7)) == want
 
 
-def test_blocks_equal_copied_questions(fixture, monkeypatch):
+def test_small_slices_give_the_same(fixture, monkeypatch):
     chunks, links, asked, rows, _, questions = fixture
-    monkeypatch.setattr(search, "MAX_COPIED_QUESTIONS", 3)
-    monkeypatch.setattr(search, "QUESTION_BLOCK", 4)
-    monkeypatch.setattr(search, "CHUNK_BLOCK", 90)
-    monkeypatch.setattr(search, "SCORE_CELLS", 50)
-    hits = search.search_batch(asked, chunks, 7)
-    assert "FlatMapCoGroups" in hits._jdf.queryExecution().executedPlan().toString()
-    assert got(hits) == {rid: brute(rows, q, 7) for rid, _, _, q in questions}
-    scoped = got(search.search_batch_by_ticker(asked, chunks, links, 7))
-    monkeypatch.undo()
-    assert scoped == got(search.search_batch_by_ticker(asked, chunks, links, 7))
+    whole = got(search.search_batch_by_ticker(asked, chunks, links, 7))
+    monkeypatch.setattr(search, "SLICE", 7)
+    monkeypatch.setattr(search, "RUN", 3)
+    monkeypatch.setattr(search, "CELLS", 9)
+    assert got(search.search_batch(asked, chunks, 7)) == {rid: brute(rows, q, 7) for rid, _, _, q in questions}
+    assert got(search.search_batch_by_ticker(asked, chunks, links, 7)) == whole
+
+
+def test_cells_are_skipped_where_vectors_cluster(spark):
+    """Most cells' bounds lie beyond the k-th distance, a third of all rows lies in one cell, and results stay exact."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 16))
+    member = np.where(rng.random(1500) < 0.33, 0, rng.integers(0, 20, 1500))
+    vecs = (centres[member] + 0.05 * rng.normal(size=(1500, 16))).astype("float32")
+    vecs[7] = 0
+    rows = [(f"a{i // 5}", i % 5, "t", [float(x) for x in v]) for i, v in enumerate(vecs)]
+    asked = [(i, [float(x) for x in np.float32(centres[i] + 0.05 * rng.normal(size=16))]) for i in range(20)] + [(77, [0.0] * 16)]
+    chunks = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    vectors = chunks.select("article_id", "chunk_index", "embedding").withColumn("scopes", F.array(F.lit("*")))
+    questions = spark.createDataFrame(asked, "request_id long, query array<float>").withColumn("scope", F.lit("*"))
+    found = search.BoundedSearch(questions, vectors, 5, cells=20)
+    assert got(found.hits) == {rid: brute(rows, q, 5) for rid, q in asked}
+    visited = {r.request_id: r.n for r in found.visits.groupBy("request_id").agg(F.count("*").alias("n")).collect()}
+    cells = found.cells.count()
+    assert sum(n for rid, n in visited.items() if rid != 77) < 0.2 * 20 * cells
+    assert visited[77] == cells - search.FIRST  # a question without a direction sees everything
+
+
+def test_empty_sides(spark, fixture):
+    chunks, links, asked, *_ = fixture
+    assert search.search_batch(asked.limit(0), chunks, 3).count() == 0
+    assert search.search_batch(asked, chunks.limit(0), 3).count() == 0
 
 
 def test_by_ticker_equals_brute_force(fixture):
@@ -92,15 +114,23 @@ def test_single_search(fixture):
             search.clamp_top_k(bad)
 
 
-def test_approximate_recall(fixture):
-    chunks, _, asked, rows, _, questions = fixture
-    want = {rid: set(brute(rows, q, 5)) for rid, _, _, q in questions}
-    centers = search.fit_cells(chunks, cells=6)
-    all_cells = got(search.search_batch_approximate(asked, chunks, centers, 5, probes=6))
-    assert {k: set(v) for k, v in all_cells.items()} == want  # every cell probed: exact
-    some = got(search.search_batch_approximate(asked, chunks, centers, 5, probes=5))
-    recall = np.mean([len(set(some.get(k, [])) & v) / 5 for k, v in want.items()])
-    assert recall >= 0.9
+def test_stored_index(spark, tmp_path):
+    """Few questions read few folders and find what exact search finds, where vectors cluster."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(16, 12))
+    vecs = (centres[rng.integers(0, 16, 1200)] + 0.1 * rng.normal(size=(1200, 12))).astype("float32")
+    rows = [(f"a{i}", 0, "t", [float(x) for x in v]) for i, v in enumerate(vecs)] + [("zero", 0, "t", [0.0] * 12), ("none", 0, "t", None)]
+    asked = [(i, [float(x) for x in np.float32(centres[i] + 0.1 * rng.normal(size=12))]) for i in range(2)]
+    path = str(tmp_path / "index")
+    search.write_index(spark.createDataFrame(rows, SCHEMA), path, cells=16)
+    requests = spark.createDataFrame(asked, "request_id long, query array<float>")
+    hits = search.search_index(requests, path, 8, probes=3)
+    found = got(hits)
+    want = {rid: set(brute(rows, q, 8)) for rid, q in asked}
+    assert np.mean([len(set(found[k]) & v) / 8 for k, v in want.items()]) >= 0.9
+    assert "dynamicpruning" in hits._jdf.queryExecution().executedPlan().toString().lower()
+    every = got(search.search_index(requests, path, 8, probes=16))
+    assert {k: set(v) for k, v in every.items()} == want  # every cell probed: exact
 
 
 def test_diversify(spark):
