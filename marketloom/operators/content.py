@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marketloom.functions import text
 from marketloom.operators.reads import newest_first
+from marketloom.sources.versions import VersionedTable
 
 # Chunk settings and the least body length.
 CHUNK_SIZE = 1200
 CHUNK_OVERLAP = 200
 MINIMUM_CHARACTERS = 200
 
-CHUNK_SCHEMA = "article_id string, chunk_index int, chunk_text string"
+CHUNK_SCHEMA = T.StructType(
+    [T.StructField("article_id", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
+)
+# rows of the chunk table that content runs append to
+RUN_SCHEMA = T.StructType([*CHUNK_SCHEMA.fields, T.StructField("extraction_source", T.StringType())])
 
 # Cut from the page before anything is looked for in it.
 NOT_SHOWN = (r"(?s)<!--.*?(?:-->|\z)", r"(?is)<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\z)")
@@ -168,23 +173,28 @@ def chunk_spans(normalized: str, size: int, overlap: int) -> list[tuple[int, int
         start = max(start + 1, follow)
 
 
-def chunk_articles(contents: DataFrame, text_column: str = "extracted_text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """(article_id, text) -> chunk rows, none for blank text. White space is normalized in the JVM, spans in Arrow batches."""
+def chunk_articles(
+    contents: DataFrame, text_column: str = "extracted_text", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """(article_id, text) -> chunk rows, none for blank text, with the article's columns in ``carry``. White space is normalized
+    in the JVM, spans in Arrow batches."""
     check_chunk_settings(size, overlap)
-    normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text"))
+    normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text"), *carry)
+    schema = T.StructType([*CHUNK_SCHEMA.fields, *(normalized.schema[c] for c in carry)])
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, numbers, pieces = [], [], []
-            for article_id, body in zip(batch["article_id"], batch["_text"]):
+            of, numbers, pieces = [], [], []
+            for place, body in enumerate(batch["_text"]):
                 parts = [p for p in (body[a:b].strip() for a, b in chunk_spans(body, size, overlap)) if p]
-                ids += [article_id] * len(parts)
+                of += [place] * len(parts)
                 numbers += range(len(parts))
                 pieces += parts
-            if ids:
-                yield pd.DataFrame({"article_id": ids, "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces})
+            if of:
+                rows = {"article_id": batch["article_id"].to_numpy()[of], "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces}
+                yield pd.DataFrame(rows | {c: batch[c].to_numpy()[of] for c in carry})
 
-    return normalized.mapInPandas(split, CHUNK_SCHEMA)
+    return normalized.mapInPandas(split, schema)
 
 
 def content_job(articles: DataFrame, bodies: DataFrame, chunks: DataFrame, max_articles: int | None = None) -> DataFrame:
@@ -195,19 +205,39 @@ def content_job(articles: DataFrame, bodies: DataFrame, chunks: DataFrame, max_a
     return chunk_articles(resolve_content(work, bodies))
 
 
-def content_metrics(eligible: DataFrame, resolved: DataFrame, written: DataFrame) -> DataFrame:
-    """One row: eligible, bodies, fallbacks, skipped, chunks, articles written."""
-    e = eligible.agg(F.count(F.lit(1)).alias("eligible"))
-    r = resolved.agg(
-        F.count(F.lit(1)).alias("resolved"),
-        F.count_if(F.col("extraction_source") == "article_body").alias("bodies"),
+def run_content_job(articles: DataFrame, bodies: DataFrame, chunks: VersionedTable, run: str, max_articles: int | None = None) -> DataFrame:
+    """Append the chunks of all articles that have none, once per ``run``, and report on it.
+
+    ``run`` names the input's snapshot. The articles are extracted and chunked in one pass, the write; the metrics come from the keys
+    and from what was written, so they stay right where tasks ran twice. A run that has been committed writes nothing and
+    reports what it did.
+    """
+    base = chunks.version()
+    before = chunks.read(base)
+    if run in base.runs:
+        before = before.join(chunks.read_run(run).select("article_id").distinct(), "article_id", "left_anti")
+    eligible = eligible_articles(articles, before)
+    work = eligible if max_articles is None else newest_work(eligible, max_articles)
+    if run not in base.runs:
+        resolved = resolve_content(work, bodies)
+        chunks.append(chunk_articles(resolved, carry=("extraction_source",)), run)
+    return content_metrics(work, chunks.read_run(run))
+
+
+def content_metrics(eligible: DataFrame, written: DataFrame) -> DataFrame:
+    """One row: eligible, bodies, fallbacks, skipped, chunks, articles written. An article's first chunk stands for it."""
+    first = F.col("chunk_index") == 0
+    done = written.agg(
+        F.count(F.lit(1)).alias("chunk_count"),
+        F.count_if(first).alias("articles_written"),
+        F.count_if(first & (F.col("extraction_source") == "article_body")).alias("article_body_count"),
     )
-    w = written.agg(F.count(F.lit(1)).alias("chunks"), F.count_distinct("article_id").alias("articles"))
-    return e.select(
-        F.col("eligible").alias("eligible_count"),
-        r.select("bodies").scalar().alias("article_body_count"),
-        r.select(F.col("resolved") - F.col("bodies")).scalar().alias("metadata_fallback_count"),
-        (F.col("eligible") - r.select("resolved").scalar()).alias("skipped_count"),
-        w.select("chunks").scalar().alias("chunk_count"),
-        w.select("articles").scalar().alias("articles_written"),
+    count = eligible.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return done.select(
+        count.alias("eligible_count"),
+        "article_body_count",
+        (F.col("articles_written") - F.col("article_body_count")).alias("metadata_fallback_count"),
+        (count - F.col("articles_written")).alias("skipped_count"),
+        "chunk_count",
+        "articles_written",
     )

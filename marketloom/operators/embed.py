@@ -12,7 +12,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marketloom.functions import text, vectors
+from marketloom.operators import content
 from marketloom.schemas import EMBEDDING_DIMENSION, VECTOR
+from marketloom.sources.versions import VersionedTable
+
+
+STORE_SCHEMA = T.StructType([
+    T.StructField("article_id", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("embedding", VECTOR),
+    T.StructField("embedding_model", T.StringType()),
+])
 
 
 class Model(Protocol):
@@ -80,11 +88,26 @@ def embed(df: DataFrame, text_column: str, keys: Sequence[str], model_factory: M
     return normalized.mapInPandas(run, schema)
 
 
-def embed_metrics(eligible: DataFrame, embedded: DataFrame, persisted: DataFrame, dimension: int = EMBEDDING_DIMENSION) -> DataFrame:
-    """One row: chunks eligible, embedded with a valid vector, and persisted."""
-    valid = embedded.agg(F.count_if(vectors.is_valid_vector(F.col("embedding"), dimension)))
+def run_embed_job(
+    chunks: DataFrame, store: VersionedTable, run: str, model_factory: ModelFactory = HashingModel, dimension: int = EMBEDDING_DIMENSION,
+    model: str = HashingModel.name, max_chunks: int | None = None,
+) -> DataFrame:
+    """Embed the chunks that have no vector, once per ``run``, append (article_id, chunk_index, embedding, embedding_model) to ``store``,
+    and report on it. The model sees each chunk in one pass, the write; the metrics read what was written."""
+    work = content.unembedded_chunks(chunks)
+    if max_chunks is not None:
+        work = content.next_chunks(work, max_chunks)
+    if run not in store.version().runs:
+        made = embed(work, "chunk_text", ["article_id", "chunk_index"], model_factory, dimension)
+        store.append(made.withColumn("embedding_model", F.lit(model)), run)
+    return embed_metrics(work, store.read_run(run), dimension)
+
+
+def embed_metrics(eligible: DataFrame, written: DataFrame, dimension: int = EMBEDDING_DIMENSION) -> DataFrame:
+    """One row: chunks eligible, written with a valid vector, and of those the ones that are still waiting for it."""
+    valid = written.filter(vectors.is_valid_vector(F.col("embedding"), dimension))
+    keys = ["article_id", "chunk_index"]
+    persisted = valid.select(*keys).join(eligible.select(*keys), keys, "left_semi").agg(F.count(F.lit(1))).scalar()
     return eligible.agg(F.count(F.lit(1)).alias("eligible_count")).select(
-        "eligible_count",
-        valid.scalar().alias("embedded_count"),
-        persisted.agg(F.count(F.lit(1))).scalar().alias("persisted_count"),
+        "eligible_count", valid.agg(F.count(F.lit(1))).scalar().alias("embedded_count"), persisted.alias("persisted_count")
     )

@@ -33,6 +33,22 @@ def _first_by(changes: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return changes.withColumn("_rn", number).filter("_rn = 1").drop("_rn")
 
 
+def key_reason(rows: DataFrame, keys: Sequence[str]) -> Column:
+    """Why a row cannot be stored under its key: a NULL key column, or a blank one; else NULL."""
+    kinds = dict(rows.dtypes)
+    checks = []
+    for k in keys:
+        checks.append(F.when(F.col(k).isNull(), F.lit(f"missing {k}")))
+        if kinds[k] == "string":
+            checks.append(F.when(F.btrim(k) == "", F.lit(f"blank {k}")))
+    return F.coalesce(*checks)
+
+
+def refused(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The changes that ``upsert`` and ``insert_absent`` leave out, with a reason."""
+    return changes.withColumn("reason", key_reason(changes, keys)).filter("reason IS NOT NULL")
+
+
 def upsert(
     current: DataFrame,
     changes: DataFrame,
@@ -41,11 +57,13 @@ def upsert(
     touch: str | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """Insert or overwrite by key; ``touch`` is stamped with ``as_of`` on every written row.
+    """Insert or overwrite by key; ``touch`` is stamped with ``as_of`` on every written row. Changes with a NULL or
+    blank key are left out (``refused`` lists them).
 
     Untouched rows pass through an anti join on the changed keys, which is a broadcast join (no
     shuffle of ``current``) whenever the planner measures those keys to be small enough.
     """
+    changes = changes.filter(key_reason(changes, keys).isNull())
     written = last_write(changes, keys, seq)
     if touch is not None:
         written = written.withColumn(touch, as_of)
@@ -54,7 +72,8 @@ def upsert(
 
 
 def insert_absent(current: DataFrame, rows: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
-    """Rows of ``rows`` whose key is new, the first write of each."""
+    """Rows of ``rows`` whose key is new, the first write of each; rows with a NULL or blank key are left out."""
+    rows = rows.filter(key_reason(rows, keys).isNull())
     return first_write(rows, keys, seq).join(current.select(*keys), list(keys), "left_anti")
 
 

@@ -1,53 +1,39 @@
-"""Upserts from a stream: batches land in a change log, the state is the last write per key.
+"""Upserts from a stream: each batch is applied to the newest version of a keyed table, once.
 
-A batch is written to its own ``batch_id=N`` folder and overwritten if it is replayed, so a lost
-executor or driver never applies a change twice. Order across batches is (batch_id, seq).
+A step reads the table and its own batch, nothing of earlier batches. The version it commits carries the batch's number, so a
+batch that is replayed after a crash, before or after that commit, never applies twice. Order across batches is
+their order of arrival; inside a batch it is ``seq``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
 
 from marketloom.operators import state
+from marketloom.sources.versions import VersionedTable
 
 
-def start_change_log(changes: DataFrame, log_path: str, checkpoint_path: str) -> StreamingQuery:
-    """Append everything available now to the change log."""
+def start_upserts(
+    changes: DataFrame,
+    table: VersionedTable,
+    keys: Sequence[str],
+    seq: Sequence[str],
+    checkpoint_path: str,
+    touch: str | None = None,
+    as_of: Column | None = None,
+    stream: str = "changes",
+) -> StreamingQuery:
+    """Apply everything available now. ``stream`` names the source among all that feed the table, and goes with its checkpoint."""
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        table.apply_batch(stream, batch_id, lambda current: state.upsert(current, batch, keys, seq, touch, as_of))
 
     return (
-        changes.writeStream.foreachBatch(land)
+        changes.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def read_change_log(spark: SparkSession, log_path: str, like: DataFrame) -> DataFrame:
-    """All landed changes with their batch_id; empty before the first batch."""
-    schema = StructType([*like.schema.fields, StructField("batch_id", LongType())])
-    try:
-        return spark.read.schema(schema).parquet(log_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def apply_change_log(
-    current: DataFrame,
-    log: DataFrame,
-    keys: Sequence[str],
-    seq: Sequence[str],
-    touch: str | None = None,
-    as_of: Column | None = None,
-) -> DataFrame:
-    """The next state of a keyed table after the landed batches."""
-    return state.upsert(current, log, keys, ["batch_id", *seq], touch, as_of)

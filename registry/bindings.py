@@ -9,11 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marketloom.operators import content, state
 from marketloom.session import materialize, shared_dir
 from marketloom.sources.tables import write_new
+from marketloom.sources.versions import VersionedTable
 
 AS_OF = "2026-01-02 03:04:05"
 HELD_SINCE = "2023-12-01 00:00:00"
@@ -50,6 +51,20 @@ class Data:
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 
+    def versioned(self, name: str, schema: T.StructType) -> VersionedTable:
+        """A new versioned table in the shared folder."""
+        return VersionedTable(self.spark, self.new_path(name), schema)
+
+    def new_path(self, name: str) -> str:
+        return f"{shared_dir(self.spark)}/marketloom/{uuid.uuid4().hex}/{name}"
+
+    def next_version(self, name: str, current: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``change`` applied to ``current`` through a versioned table: both states are committed, the second is read."""
+        table = self.versioned(name, current.schema)
+        table.replace(current)
+        table.update(change)
+        return table.read()
+
     # -- companies and prices
 
     def located_suppliers(self) -> DataFrame:

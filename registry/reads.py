@@ -297,8 +297,9 @@ def semantic_search_batch(d: Data) -> DataFrame:
 
 @query("approx_semantic_search")
 def approx_semantic_search(d: Data) -> DataFrame:
-    centers = search.fit_cells(d.chunks())
-    hits = search.search_batch_approximate(d.requests(), d.chunks(), centers, 8)
+    path = d.new_path("index")
+    search.write_index(d.chunks(), path, cells=16)
+    hits = search.search_index(d.requests(), path, 8, probes=12)
     return hits.select("request_id", "article_id", "chunk_index", r6("distance").alias("distance"), "rank")
 
 

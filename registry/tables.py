@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketloom.functions import dates, variant
 from marketloom.operators import reads, state
 from marketloom.plans import actions as act, refresh
-from marketloom.session import materialize, shared_dir
+from marketloom.session import materialize
 from marketloom.sources import landed
 from marketloom.streaming import ingest
 from registry.bindings import AS_OF, Data, as_of, text, with_ctes
@@ -293,15 +292,16 @@ STAMP = f"TIMESTAMP '{AS_OF}'"
     CAST(l_extendedprice AS DECIMAL(24,4)) AS market_cap FROM lineitem
   QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) = 1)
 SELECT ticker, name, industry, market_cap, {STAMP} AS updated_at FROM feed
-UNION ALL SELECT ticker, name, industry, market_cap, NULL FROM b_companies WHERE market_cap >= 1000 AND ticker NOT IN (SELECT ticker FROM feed)
+UNION ALL SELECT ticker, name, industry, market_cap, NULL FROM b_companies WHERE ticker NOT IN (SELECT ticker FROM feed)
 UNION ALL SELECT 'R' || r_regionkey, r_name, NULL, NULL, NULL FROM region""",
     ),
 )
 def upsert_companies(d: Data) -> DataFrame:
     regions = d.table("region").select(F.concat(F.lit("R"), text("r_regionkey")).alias("ticker"), F.col("r_name").alias("name"))
-    known = d.companies().select("ticker", "name", "industry", "market_cap").filter("market_cap >= 1000")
+    known = d.companies().select("ticker", "name", "industry", "market_cap")
     current = known.unionByName(regions, allowMissingColumns=True).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
-    return state.upsert(current, d.company_feed(), ["ticker"], ["seq1", "seq2", "seq3", "seq4", "seq5"], "updated_at", as_of())
+    seq = ["seq1", "seq2", "seq3", "seq4", "seq5"]
+    return d.next_version("companies", current, lambda now: state.upsert(now, d.company_feed(), ["ticker"], seq, "updated_at", as_of()))
 
 
 PRICES_SQL = with_ctes(
@@ -323,9 +323,8 @@ def finished_prices(d: Data) -> DataFrame:
 @query("upsert_prices", PRICES_SQL)
 def upsert_prices(d: Data) -> DataFrame:
     incoming = d.price_feed().filter("line_status = 'O'")
-    return state.upsert(
-        finished_prices(d), incoming, ["ticker", "price_date"], ["seq1", "seq2", "seq3"], "fetched_at", as_of()
-    )
+    keys, seq = ["ticker", "price_date"], ["seq1", "seq2", "seq3"]
+    return d.next_version("prices", finished_prices(d), lambda now: state.upsert(now, incoming, keys, seq, "fetched_at", as_of()))
 
 
 @query("stream_upsert_prices", PRICES_SQL)
@@ -336,10 +335,11 @@ def stream_upsert_prices(d: Data) -> DataFrame:
         d.spark.readStream.schema(d.table("lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(d.dir)
     )
     changes = d.price_feed(stream).filter("line_status = 'O'")
-    run = f"{shared_dir(d.spark)}/marketloom/{uuid.uuid4().hex}/stream"
-    ingest.start_change_log(changes, f"{run}/log", f"{run}/checkpoint").awaitTermination()
-    log = ingest.read_change_log(d.spark, f"{run}/log", changes)
-    return ingest.apply_change_log(finished_prices(d), log, keys, seq, "fetched_at", as_of())
+    current = finished_prices(d)
+    table = d.versioned("prices", current.schema)
+    table.replace(current)
+    ingest.start_upserts(changes, table, keys, seq, f"{table.path}/_checkpoint", "fetched_at", as_of()).awaitTermination()
+    return table.read()
 
 
 @query(

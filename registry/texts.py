@@ -292,7 +292,14 @@ def document_bodies(d: Data) -> DataFrame:
 
 @query("append_new_chunks", with_ctes("", "SELECT * FROM new_chunks", chunk_cte("new_chunks", NEW_SOURCE, 1200, 200)))
 def append_new_chunks(d: Data) -> DataFrame:
-    return content.content_job(d.document_articles(), document_bodies(d), done(d))
+    table = d.versioned("chunks", content.RUN_SCHEMA)
+    # articles with labels have their chunks already
+    held = done(d).select("article_id", F.lit(0).alias("chunk_index"), F.lit("held").alias("chunk_text"), F.lit("held").alias("extraction_source"))
+    table.replace(held)
+    for run in ("documents@1", "documents@1", "documents@2"):  # the second is the first again, the third finds nothing left
+        content.run_content_job(d.document_articles(), document_bodies(d), table, run)
+    rows = table.read_run("documents@1").unionByName(table.read_run("documents@2"))
+    return rows.select("article_id", "chunk_index", "chunk_text")
 
 
 @query(
@@ -309,9 +316,10 @@ SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM l
     ),
 )
 def content_run_metrics(d: Data) -> DataFrame:
-    eligible = content.eligible_articles(d.document_articles(), done(d))
-    resolved = content.resolve_content(eligible, document_bodies(d))
-    return content.content_metrics(eligible, resolved, content.chunk_articles(resolved))
+    table = d.versioned("chunks", content.RUN_SCHEMA)
+    held = done(d).select("article_id", F.lit(0).alias("chunk_index"), F.lit("held").alias("chunk_text"), F.lit("held").alias("extraction_source"))
+    table.replace(held)
+    return content.run_content_job(d.document_articles(), document_bodies(d), table, "documents@1")
 
 
 @query(
@@ -437,13 +445,7 @@ SELECT count(*) AS eligible_count, count(*) AS embedded_count, count(*) AS persi
     ),
 )
 def embed_run_metrics(d: Data) -> DataFrame:
-    keys = ["article_id", "chunk_index"]
-    work = content.unembedded_chunks(d.chunks())
-    made = embed.embed(work, "chunk_text", keys).withColumn("embedding_model", F.lit(embed.HashingModel.name))
-    persisted, _ = state.set_embeddings(work.withColumns(
-        {"embedding": F.lit(None).cast("array<float>"), "embedding_model": F.lit(None).cast("string")}
-    ), made, EMBEDDING_DIMENSION, ["embedding_model"])
-    return embed.embed_metrics(work, made, persisted.filter("embedding IS NOT NULL"))
+    return embed.run_embed_job(d.chunks(), d.versioned("vectors", embed.STORE_SCHEMA), "chunks@1")
 
 
 @query(

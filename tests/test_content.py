@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.functions import vectors
+from marketloom.sources.versions import VersionedTable
 from marketloom.operators import content, embed
 
 
@@ -114,13 +115,46 @@ def test_content_job_is_incremental(spark):
     resolved = {r.article_id: (r.extraction_source, r.extracted_text[:9]) for r in content.resolve_content(eligible, bodies).collect()}
     assert resolved == {"a": ("article_body", "body body"), "b": ("metadata_fallback", "Title: Ti"), "e": ("metadata_fallback", "Title: E")}
     first = content.content_job(articles(spark), bodies, none)
-    metrics = content.content_metrics(eligible, content.resolve_content(eligible, bodies), first).first()
-    assert tuple(metrics) == (4, 1, 2, 1, 3, 3)
-    second = content.content_job(articles(spark), bodies, first)
-    assert second.count() == 0
+    assert first.count() == 3
+    assert content.content_job(articles(spark), bodies, first).count() == 0
     assert [r.article_id for r in content.newest_work(eligible, 2).collect()] == ["c", "b"]
 
 
+def test_content_run_is_written_once_and_extracts_once(spark, tmp_path):
+    """The pages are extracted once in a run; the same run again, and a later one, write nothing."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def extractor(html, **_):
+        seen.add(1)
+        return html
+
+    pages = spark.createDataFrame([("a", "u", "body " * 50), ("b", "u", "body " * 50)], "article_id string, url string, html string")
+    bodies = content.extract_articles(pages, extractor=extractor)
+    table = VersionedTable(spark, str(tmp_path / "chunks"), content.RUN_SCHEMA)
+    assert tuple(content.run_content_job(articles(spark), bodies, table, "day 1").first()) == (4, 1, 2, 1, 3, 3)
+    assert seen.value == 2 and table.read().count() == 3 and table.version().number == 1
+    assert tuple(content.run_content_job(articles(spark), bodies, table, "day 1").first()) == (4, 1, 2, 1, 3, 3)
+    assert seen.value == 2 and table.version().number == 1
+    assert tuple(content.run_content_job(articles(spark), bodies, table, "day 2").first()) == (1, 0, 0, 1, 0, 0)
+    assert table.read().count() == 3 and table.read_run("day 2").count() == 0
+
+
+def test_embed_run_embeds_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counting:
+        def encode(self, sentences, *, convert_to_numpy, normalize_embeddings):
+            seen.add(len(sentences))
+            return np.ones((len(sentences), 3))
+
+    rows = [("a", 0, "x", None), ("a", 1, "y", None), ("b", 0, " ", None), ("c", 0, "z", [1.0, 1.0, 1.0])]
+    chunks = spark.createDataFrame(rows, "article_id string, chunk_index int, chunk_text string, embedding array<float>")
+    store = VersionedTable(spark, str(tmp_path / "vectors"), embed.STORE_SCHEMA)
+    assert tuple(embed.run_embed_job(chunks, store, "1", Counting, 3, "m").first()) == (3, 2, 2)
+    assert tuple(embed.run_embed_job(chunks, store, "1", Counting, 3, "m").first()) == (3, 2, 2)
+    assert seen.value == 2 and {r.embedding_model for r in store.read().collect()} == {"m"}
+
+
 def test_models_are_injected_and_checked(spark):
     class Fake:  # local, so that it travels with the job
         def encode(self, sentences, *, convert_to_numpy, normalize_embeddings):

@@ -8,8 +8,8 @@ from registry.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON_STAGES = {  # text spans, character references, embedding models and batch scoring are the only Python on executors
-    "chunk_articles", "append_new_chunks", "content_run_metrics", "replace_chunks", "embed_chunks", "embed_queries",
-    "embed_run_metrics", "semantic_search_batch", "approx_semantic_search", "diversify_evidence", "research_context",
+    "chunk_articles", "replace_chunks", "embed_chunks", "embed_queries",
+    "semantic_search_batch", "approx_semantic_search", "diversify_evidence", "research_context",
     "research_context_json", "semantic_search_service", "extract_articles", "resolve_content",
 }
 
