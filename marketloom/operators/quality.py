@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketloom.functions import text
-from marketloom.schemas import TABLES
+from marketloom.schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLES
 
 # The messages a failing summary is reported with.
 NO_SINGLE_COMPANY = "expected exactly one company row"
@@ -60,6 +60,58 @@ def row_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
     )
 
 
+def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, rule_name, violations) of every declared constraint of the given tables, in one pass: primary_key (keys that
+    several rows have), not_null:<column> (rows without it), foreign_key:<column> (rows whose parent is missing, where the parent is given).
+
+    Each table is scanned once. A row gives one tagged key per constraint it takes part in, as the one that holds the key or as
+    the one that refers to it; keys are counted together, before the shuffle first, so a key that very many
+    rows share costs no single task. Rows with a NULL in a key break not_null and no other rule.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    rules: list[tuple[str, str]] = []
+    tagged: list[DataFrame] = []
+
+    def cell(table: str, rule: str, key: Column, rows: int, parent: int) -> Column:
+        return F.struct(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule_name"), key.alias("key"),
+            F.lit(rows).alias("rows"), F.lit(parent).alias("parent"),
+        )
+
+    for name, df in tables.items():
+        keys = [F.col(k).cast("string") for k in PRIMARY_KEYS[name]]
+        whole = F.when(~F.exists(F.array(*keys), lambda k: k.isNull()), F.to_json(F.array(*keys)))
+        cells = [cell(name, "primary_key", whole, 1, 0)]
+        rules.append((name, "primary_key"))
+        for f in TABLES[name].fields:
+            if not f.nullable and f.name in df.columns:
+                cells.append(cell(name, f"not_null:{f.name}", F.when(F.col(f.name).isNull(), F.lit("")), 1, 0))
+                rules.append((name, f"not_null:{f.name}"))
+        for child, (column, parent, parent_key) in FOREIGN_KEYS.items():
+            if child in tables and parent in tables:
+                if child == name:
+                    cells.append(cell(child, f"foreign_key:{column}", F.col(column).cast("string"), 1, 0))
+                    rules.append((child, f"foreign_key:{column}"))
+                if parent == name:
+                    cells.append(cell(child, f"foreign_key:{column}", F.col(parent_key).cast("string"), 0, 1))
+        tagged.append(df.select(F.inline(F.filter(F.array(*cells), lambda c: c["key"].isNotNull()))))
+    every = tagged[0]
+    for more in tagged[1:]:
+        every = every.unionAll(more)
+    counted = every.groupBy("table_name", "rule_name", "key").agg(F.sum("rows").alias("rows"), F.max("parent").alias("parent"))
+    rule, n = F.col("rule_name"), F.col("rows")
+    broken = (
+        F.when(rule == "primary_key", (n > 1).cast("long"))
+        .when(rule.startswith("not_null:"), n)
+        .otherwise(F.when(F.col("parent") == 0, n).otherwise(0))
+    )
+    sums = counted.groupBy("table_name", "rule_name").agg(F.sum(broken).cast("long").alias("violations"))
+    declared = spark.createDataFrame(rules, "table_name string, rule_name string")
+    return declared.join(sums, ["table_name", "rule_name"], "left").select(
+        "table_name", "rule_name", F.coalesce("violations", F.lit(0).cast("long")).alias("violations")
+    )
+
+
 def split_tickers(df: DataFrame, column: str = "ticker") -> tuple[DataFrame, DataFrame]:
     """(rows with a valid, normalized ticker, rows without)."""
     valid = text.normalize_ticker(F.col(column))

@@ -50,11 +50,25 @@ def company_lookup(requests: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
+BIN_DAYS = 64
+
+
 def price_range(prices: DataFrame, bounds: DataFrame) -> DataFrame:
-    """bounds(request_id, ticker, start, end) -> the prices inside, both ends inclusive, NULL = open."""
+    """bounds(request_id, ticker, start, end) -> the prices inside, both ends inclusive, NULL = open.
+
+    Dates fall into bins of 64 days. A price has one bin, bounds have those they touch, cut to the days there are prices
+    for; both meet on (ticker, bin), so a ticker with very many prices or bounds is dealt over its bins.
+    """
     day = F.col("price_date")
-    joined = prices.join(bounds, "ticker")
-    return joined.filter(day.between(F.coalesce("start", day), F.coalesce("end", day))).drop("start", "end")
+
+    def bin_of(c: Column) -> Column:
+        return F.floor(F.unix_date(c) / BIN_DAYS).cast("int")
+
+    first, last = prices.agg(F.min("price_date")).scalar(), prices.agg(F.max("price_date")).scalar()
+    asked = bounds.withColumns({"_from": F.greatest("start", first), "_to": F.least("end", last)}).filter("_from <= _to")
+    asked = asked.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_from")), bin_of(F.col("_to")))))
+    joined = prices.withColumn("_bin", bin_of(day)).join(asked, ["ticker", "_bin"])
+    return joined.filter(day.between(F.col("_from"), F.col("_to"))).drop("start", "end", "_from", "_to", "_bin")
 
 
 def recent_prices(prices: DataFrame, limit: int = 30) -> DataFrame:

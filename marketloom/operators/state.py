@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from marketloom.functions import vectors
+from marketloom.session import materialize
 
 DEFAULT_WATCHLIST = "My Watchlist"
 ID_BUCKET_DIGITS = 4  # 16**4 id buckets
@@ -123,29 +124,31 @@ def get_or_create_watchlists(watchlists: DataFrame, user_ids: DataFrame, as_of:
     )
 
 
-def watchlist_results(members: DataFrame, actions: DataFrame, keys: Sequence[str], seq: Sequence[str], bucket: Column) -> DataFrame:
+def watchlist_results(members: DataFrame, actions: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Each add/remove action with what it did: added, already_present, removed.
 
-    An action's effect depends on the one before it on the same key, or on ``members`` for the
-    first. ``bucket`` is a coarse, non-decreasing function of ``seq`` (an hour, a day): the previous
-    action is looked up inside (key, bucket), and only the first action of a bucket takes the last
-    one of the key's previous bucket, so one hot key is spread over its buckets.
+    An action's effect depends on the one before it on the same key, or on ``members`` for the first. Actions are cut into
+    blocks by ranges of (key, seq), so even one user's, ticker's and day's actions are dealt over several. A block is summed up by its
+    last action; summaries of neighbouring blocks join to the later one's, so what a block begins with is the last action of the
+    nearest block before it. Only one row per key and block takes part in that, however hot a key is.
     """
     keys = list(keys)
-    acts = actions.withColumn("_bucket", bucket)
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*seq)
-    acts = acts.withColumn("_prev", F.lag("action").over(inside))
-    buckets = acts.groupBy(*keys, "_bucket").agg(F.max_by("action", F.struct(*seq)).alias("_last"))
-    carried = buckets.select(
-        *keys, "_bucket", F.lag("_last").over(W.partitionBy(*keys).orderBy("_bucket")).alias("_carried")
+    parts = max(1, int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # written once: range borders come from a sample, and a block must not change when a task runs again
+    blocked = materialize(actions.repartitionByRange(parts, *keys, *seq).withColumn("_block", F.spark_partition_id()))
+    inside = W.partitionBy(*keys, "_block").orderBy(*seq)
+    acts = blocked.withColumn("_prev", F.lag("action").over(inside))
+    blocks = blocked.groupBy(*keys, "_block").agg(F.max_by("action", F.struct(*seq)).alias("_last"))
+    carried = blocks.select(
+        *keys, "_block", F.lag("_last").over(W.partitionBy(*keys).orderBy("_block")).alias("_carried")
     )
     member = members.select(*keys).distinct().withColumn("_member", F.lit("add"))
     carried = carried.join(member, keys, "left").select(
-        *keys, "_bucket", F.coalesce("_carried", "_member", F.lit("remove")).alias("_carried")
+        *keys, "_block", F.coalesce("_carried", "_member", F.lit("remove")).alias("_carried")
     )
     present = F.coalesce(F.col("_prev"), F.col("_carried")) == "add"
     add = F.col("action") == "add"
-    return acts.join(carried, keys + ["_bucket"]).select(
+    return acts.join(carried, keys + ["_block"]).select(
         *actions.columns,
         (add & ~present).alias("added"),
         (add & present).alias("already_present"),

@@ -197,7 +197,7 @@ class Data:
 
     def actions(self) -> DataFrame:
         kind = F.col("event_type")
-        return self.table("events").filter(kind.isin("purchase", "signup", "error")).select(
+        return self.table("events").filter(kind != "view").select(
             F.concat(F.lit("user"), text("user_id"), F.lit("@example.com")).alias("user_email"),
             F.concat(F.lit("K"), F.get_json_object("props", "$.k")).alias("ticker"),
             F.when(kind == "error", "remove").otherwise("add").alias("action"),
@@ -279,7 +279,7 @@ FROM supplier JOIN embeddings ON vec_id = s_suppkey""",
     "b_actions": """
 SELECT 'user' || user_id || '@example.com' AS user_email, 'K' || regexp_extract(props, '[0-9]+') AS ticker,
        CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS action, ts, event_id
-FROM events WHERE event_type IN ('purchase', 'signup', 'error')""",
+FROM events WHERE event_type <> 'view'""",
     "b_held": f"""
 SELECT DISTINCT 'user' || user_id || '@example.com' AS user_email, 'K' || regexp_extract(props, '[0-9]+') AS ticker,
        TIMESTAMP '{HELD_SINCE}' AS added_at

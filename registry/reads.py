@@ -211,6 +211,66 @@ def constraint_checks(d: Data) -> DataFrame:
     return out
 
 
+# raw feeds that play the ten tables, with what their constraints forbid; each table's columns in both languages
+RAW_TABLES = {
+    "users": ("customer", {"id": "c_custkey % 9000", "email": "CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END"}),
+    "watchlists": ("orders", {"id": "o_orderkey", "user_id": "CASE WHEN o_orderstatus <> 'P' THEN o_custkey END", "name": "o_orderpriority"}),
+    "watchlist_tickers": ("lineitem", {"watchlist_id": "CASE WHEN l_linenumber > 6 THEN -l_orderkey ELSE l_orderkey END", "ticker": "concat('S', l_suppkey)"}),
+    "companies": ("supplier", {"ticker": "concat('S', s_suppkey)", "name": "CASE WHEN s_acctbal >= 0 THEN s_name END", "raw_source_payload": "s_name"}),
+    "price_snapshots": ("lineitem", {"ticker": "CASE WHEN l_returnflag <> 'R' THEN concat('S', l_suppkey) END", "price_date": "CAST(l_shipdate AS DATE)"}),
+    "news_articles": ("documents", {"article_id": "CAST(doc_id AS STRING)", "title": "CASE WHEN lang <> 'es' THEN lang END", "raw_source_payload": "text"}),
+    "news_article_tickers": ("labels", {"article_id": "CAST(doc_id + quality AS STRING)", "ticker": "CASE WHEN toxic = 0 THEN 'T' END"}),
+    "news_article_chunks": ("embeddings", {"article_id": "CAST(vec_id AS STRING)", "chunk_index": "label", "chunk_text": "CASE WHEN label > 0 THEN 'c' END"}),
+    "research_notes": ("conversations", {"id": "conv_id", "user_id": "conv_id", "ticker": "role", "note_text": "text"}),
+    "analysis_reports": (
+        "part", {"id": "p_partkey", "user_id": "CASE WHEN p_size > 5 THEN p_size END", "ticker": "p_brand", "title": "p_name", "report_text": "p_type"}
+    ),
+}
+NOT_NULL = (
+    "users.id users.email watchlists.id watchlists.user_id watchlists.name watchlist_tickers.watchlist_id watchlist_tickers.ticker companies.ticker "
+    "companies.name companies.raw_source_payload price_snapshots.ticker price_snapshots.price_date news_articles.article_id news_articles.title "
+    "news_articles.raw_source_payload news_article_tickers.article_id news_article_tickers.ticker news_article_chunks.article_id "
+    "news_article_chunks.chunk_index news_article_chunks.chunk_text research_notes.id research_notes.user_id research_notes.ticker "
+    "research_notes.note_text analysis_reports.id analysis_reports.user_id analysis_reports.ticker analysis_reports.title analysis_reports.report_text"
+)
+UNIQUE = (
+    "users:id watchlists:id watchlist_tickers:watchlist_id,ticker companies:ticker price_snapshots:ticker,price_date news_articles:article_id "
+    "news_article_tickers:article_id,ticker news_article_chunks:article_id,chunk_index research_notes:id analysis_reports:id"
+)
+REFERENCES = (
+    "watchlists.user_id=users.id watchlist_tickers.watchlist_id=watchlists.id news_article_tickers.article_id=news_articles.article_id "
+    "news_article_chunks.article_id=news_articles.article_id research_notes.user_id=users.id analysis_reports.user_id=users.id"
+)
+
+
+def _constraint_sql() -> str:
+    ctes = [
+        f"raw_{name} AS (SELECT {', '.join(f'{sql} AS {c}' for c, sql in columns.items())} FROM {table})"
+        for name, (table, columns) in RAW_TABLES.items()
+    ]
+    parts = []
+    for item in UNIQUE.split():
+        name, keys = item.split(":")
+        sound = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(","))
+        parts.append(f"SELECT '{name}' AS table_name, 'primary_key' AS rule_name, (SELECT count(*) FROM (SELECT 1 FROM raw_{name} WHERE {sound} GROUP BY {keys} HAVING count(*) > 1)) AS violations")
+    for item in NOT_NULL.split():
+        name, column = item.split(".")
+        parts.append(f"SELECT '{name}', 'not_null:{column}', (SELECT count(*) FROM raw_{name} WHERE {column} IS NULL)")
+    for item in REFERENCES.split():
+        child, parent = (x.split(".") for x in item.split("="))
+        parts.append(
+            f"SELECT '{child[0]}', 'foreign_key:{child[1]}', (SELECT count(*) FROM raw_{child[0]} c WHERE c.{child[1]} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM raw_{parent[0]} p WHERE p.{parent[1]} = c.{child[1]}))"
+        )
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
+@query("declared_constraints", _constraint_sql())
+def declared_constraints(d: Data) -> DataFrame:
+    tables = {name: d.table(table).selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()]) for name, (table, columns) in RAW_TABLES.items()}
+    return quality.check_tables(tables)
+
+
 @query(
     "schema_differences",
     with_ctes(

@@ -495,7 +495,7 @@ KEYS, SEQ = ["user_email", "ticker"], ["ts", "event_id"]
 
 
 def results(d: Data) -> DataFrame:
-    return state.watchlist_results(d.held(), d.actions(), KEYS, SEQ, F.date_trunc("day", "ts"))
+    return state.watchlist_results(d.held(), d.actions(), KEYS, SEQ)
 
 
 @query(

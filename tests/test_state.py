@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import quality, state
+from marketloom.operators import quality, reads, state
 from marketloom.plans import actions
 from marketloom.sources.versions import ConflictError, VersionedTable
 from marketloom.streaming import ingest
@@ -62,20 +62,44 @@ def test_users_and_watchlists_are_created_once(spark):
     assert lists.count() == 2 and {r.name for r in lists.collect()} == {"My Watchlist"}
 
 
-def test_watchlist_actions_across_buckets(spark):
+def test_watchlist_actions_across_blocks(spark):
     key = ["user", "ticker"]
     held = spark.createDataFrame([("u", "H", 0), ("v", "K", 0)], "user string, ticker string, added_at int")
     acts = [("u", "A", "add", 1), ("u", "A", "add", 2), ("u", "A", "remove", 11), ("u", "A", "remove", 12), ("u", "A", "add", 35),
             ("u", "H", "add", 3), ("u", "H", "remove", 40), ("u", "G", "remove", 5)]
     df = spark.createDataFrame(acts, "user string, ticker string, action string, seq int")
-    for width in (1, 10, 1000):  # any bucket width gives the same answer
-        res = state.watchlist_results(held, df, key, ["seq"], F.floor(F.col("seq") / width))
-        flags = {r.seq: (r.added, r.already_present, r.removed) for r in res.collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "8"):  # any number of blocks gives the same answer
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            res = state.watchlist_results(held, df, key, ["seq"])
+            flags = {r.seq: (r.added, r.already_present, r.removed) for r in res.collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
         assert flags == {
             1: (True, False, False), 2: (False, True, False), 11: (False, False, True), 12: (False, False, False),
             35: (True, False, False), 3: (False, True, False), 40: (False, False, True), 5: (False, False, False),
         }
-        assert rows(state.watchlist_members(held, res, key, ["seq"], "seq"), *key, "added_at") == [("u", "A", 35), ("v", "K", 0)]
+    assert rows(state.watchlist_members(held, res, key, ["seq"], "seq"), *key, "added_at") == [("u", "A", 35), ("v", "K", 0)]
+
+
+def test_one_users_hot_ticker_is_dealt_over_blocks(spark):
+    """One key holds most actions of one moment: they are spread, and every effect is that of the plain walk."""
+    import random
+
+    rng = random.Random(1)
+    acts = [("u" if rng.random() < 0.8 else f"u{rng.randrange(50)}", "A", rng.choice(["add", "remove"]), i) for i in range(4000)]
+    df = spark.createDataFrame(acts, "user string, ticker string, action string, seq int")
+    held = spark.createDataFrame([("u", "A", 0)], "user string, ticker string, added_at int")
+    now, want = {"u": True}, {}
+    for user, _, action, i in acts:
+        was = now.get(user, False)
+        now[user] = action == "add"
+        want[i] = (action == "add" and not was, action == "add" and was, action == "remove" and was)
+    res = state.watchlist_results(held, df, ["user", "ticker"], ["seq"])
+    assert {r.seq: (r.added, r.already_present, r.removed) for r in res.collect()} == want
+    blocks = df.repartitionByRange(8, "user", "ticker", "seq").filter("user = 'u'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(blocks) >= 5 and max(r["count"] for r in blocks) < 1000
 
 
 def test_replace_chunks(spark):
@@ -219,3 +243,38 @@ def test_lenient_and_strict_tickers(spark):
     assert rows(quality.require_tickers(df.limit(1)), "ticker") == [("AAPL",)]
     with pytest.raises(Exception, match="invalid ticker"):
         quality.require_tickers(df).collect()
+
+
+def test_price_ranges_and_a_hot_ticker(spark):
+    """Open, closed, empty and inverted bounds; a ticker with a third of the rows is dealt over its bins."""
+    days = spark.range(2000).selectExpr("CAST(id AS INT) i", "date_add(DATE'2020-01-01', CAST(id AS INT)) price_date")
+    tickers = spark.range(41).selectExpr("CASE WHEN id < 14 THEN 'HOT' ELSE concat('T', id) END ticker")
+    prices = tickers.crossJoin(days.filter("i % 10 = 0 OR true")).select("ticker", "price_date", "i")
+    hot = [(n, "HOT", dt.date(2020, 1, 1) + dt.timedelta(days=n), dt.date(2020, 1, 1) + dt.timedelta(days=n + 30)) for n in range(0, 1900, 50)]
+    some = [(5001, "T20", None, dt.date(2020, 1, 3)), (5002, "T21", dt.date(2025, 6, 20), None), (5003, "T22", None, None), (5004, "T23", dt.date(2021, 1, 2), dt.date(2021, 1, 1)),
+            (5005, "NONE", None, None), (5006, "T24", dt.date(2030, 1, 1), None)]
+    bounds = spark.createDataFrame(hot + some, "request_id int, ticker string, start date, end date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    for name, value in zip(("autoBroadcastJoinThreshold", "shuffle.partitions", "adaptive.enabled"), ("-1", "16", "false")):
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        out = reads.price_range(prices, bounds)
+        counts = {r.request_id: r["count"] for r in out.groupBy("request_id").count().collect()}
+        dealt = sorted(r["count"] for r in prices.withColumn("bin", F.floor(F.unix_date("price_date") / reads.BIN_DAYS)).repartition(16, "ticker", "bin").groupBy(F.spark_partition_id()).count().collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in zip(("autoBroadcastJoinThreshold", "shuffle.partitions", "adaptive.enabled"), before):
+            spark.conf.set(f"spark.sql.{name}", value)
+    assert counts == {n: 14 * 31 for n, *_ in hot} | {5001: 3, 5002: 3, 5003: 2000}
+    assert "hashpartitioning(ticker" in plan and "_bin" in plan
+    assert dealt[-1] <= 4 * dealt[len(dealt) // 2]
+
+
+def test_declared_constraints(spark):
+    users = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "d")], "id long, email string")
+    lists = spark.createDataFrame([(1, 1, "x"), (2, 9, "y"), (3, None, "z"), (3, 9, "z")], "id long, user_id long, name string")
+    got = {(r.table_name, r.rule_name): r.violations for r in quality.check_tables({"users": users, "watchlists": lists}).collect()}
+    assert got == {
+        ("users", "primary_key"): 1, ("users", "not_null:id"): 1, ("users", "not_null:email"): 1, ("watchlists", "primary_key"): 1,
+        ("watchlists", "not_null:id"): 0, ("watchlists", "not_null:user_id"): 1, ("watchlists", "not_null:name"): 0, ("watchlists", "foreign_key:user_id"): 2,
+    }
