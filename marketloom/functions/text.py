@@ -71,7 +71,7 @@ def ticker_or_blank(c: Column) -> Column:
 
 def normalize_ticker(c: Column) -> Column:
     """Upper-cased ticker, NULL where the text is not a ticker."""
-    return F.nullif(ticker_or_blank(c), F.lit(""))
+    return _filled(ticker_or_blank(c))
 
 
 def normalize_email(c: Column) -> Column:
@@ -105,7 +105,12 @@ def top_k(c: Column) -> Column:
 
 
 def question_text(c: Column) -> Column:
-    return F.nullif(collapse_ws(c), F.lit(""))
+    return _filled(collapse_ws(c))
+
+
+def _filled(c: Column) -> Column:
+    """NULL for '', with one evaluation of ``c``."""
+    return F.get(F.filter(F.array(c), lambda t: t != ""), 0)
 
 
 def iso_date(c: Column) -> Column:

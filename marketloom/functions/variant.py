@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketloom.functions.text import blank_to_null
+from marketloom.functions.text import trim_ws
 
 
 def with_parsed(df: DataFrame, payload: str = "payload", path: str = "$", name: str = "_r") -> DataFrame:
@@ -49,8 +49,10 @@ def is_string(v: Column) -> Column:
 
 
 def text_of(f: Column) -> Column:
-    """Trimmed text of a JSON string that is not blank; NULL for every other value."""
-    return F.when(is_string(f), blank_to_null(F.try_variant_get(f, "$", "string")))
+    """Trimmed text of a JSON string that is not blank; NULL for every other value. Each step is evaluated once, also in
+    lambdas, where nothing is shared."""
+    trimmed = F.transform(F.array(f), lambda x: F.when(type_name(x) == "STRING", trim_ws(F.try_variant_get(x, "$", "string"))))
+    return F.get(F.filter(trimmed, lambda t: t != ""), 0)
 
 
 def optional_text(v: Column, path: str) -> Column:

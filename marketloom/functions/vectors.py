@@ -10,16 +10,19 @@ from marketloom.schemas import EMBEDDING_DIMENSION
 DISTANCE_DECIMALS = 12
 
 
-def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+def cosine_distance(a: Column, b: Column) -> Column:
+    """1 - cos(a, b) in double precision; NULL when either vector has no length. Both are read in one fold."""
 
+    def add(sums: Column, pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        return F.struct((sums["ab"] + x * y).alias("ab"), (sums["aa"] + x * x).alias("aa"), (sums["bb"] + y * y).alias("bb"))
 
-def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cos(a, b) in double precision; NULL when either vector has no length."""
-    return F.round(
-        F.lit(1.0) - F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b))), DISTANCE_DECIMALS
-    )
+    def cosine(sums: Column) -> Column:
+        return F.try_divide(sums["ab"], F.sqrt(sums["aa"]) * F.sqrt(sums["bb"]))
+
+    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
+    none = F.struct(F.lit(0.0).alias("ab"), F.lit(0.0).alias("aa"), F.lit(0.0).alias("bb"))
+    return F.round(F.lit(1.0) - F.aggregate(pairs, none, add, cosine), DISTANCE_DECIMALS)
 
 
 def similarity(distance: Column) -> Column:

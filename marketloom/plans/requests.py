@@ -17,9 +17,12 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     ``limit`` is rejected outside the tool's bounds; ``semantic_search`` clamps it instead. Tools
     that read text need a question; the agent's is bounded after white space is collapsed.
     """
-    tool, limit = F.col("tool"), F.col("limit")
-    ticker = text.normalize_ticker(F.col("ticker"))
-    question = text.question_text(F.col("question"))
+    tool, limit, ticker, question = (F.col(c) for c in ("tool", "limit", "ticker", "question"))
+    # normalized behind a one-element generator, so that what follows reads the results and repeats no pattern
+    asked = requests.select(
+        "request_id", "tool", "limit",
+        F.inline(F.array(F.struct(text.normalize_ticker(ticker).alias("ticker"), text.question_text(question).alias("question")))),
+    )
     bounded: Column = F.lit(None).cast("long")
     for name, maximum in TOOL_LIMITS.items():
         bounded = F.when(tool == name, text.bounded_limit(limit, maximum)).otherwise(bounded)
@@ -32,11 +35,8 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         .when((tool == "agent") & (F.length(question) > MAX_AGENT_QUESTION), "question too long")
         .when(needs_limit & bounded.isNull(), "limit out of bounds")
     )
-    return requests.select(
-        "request_id",
-        "tool",
-        ticker.alias("ticker"),
-        question.alias("question"),
+    return asked.select(
+        "request_id", "tool", "ticker", "question",
         bounded.cast("long").alias("limit"),
         F.when(error.isNotNull(), F.lit("validation_error")).alias("error_type"),
         error.alias("error_message"),

@@ -169,15 +169,16 @@ def _relationships(listed: Column, insights: Column) -> Column:
     Both inputs are columns of their own, so nothing is parsed again per element.
     """
 
-    def resolved(ticker: Column) -> Column:
-        last = F.try_element_at(F.filter(insights, lambda i: i["ticker"] == ticker), F.lit(-1))
+    def named(ticker: Column, last: Column) -> Column:
         return F.struct(
-            ticker.alias("ticker"),
-            last["sentiment"].alias("sentiment"),
-            last["sentiment_reasoning"].alias("sentiment_reasoning"),
+            ticker.alias("ticker"), last["sentiment"].alias("sentiment"), last["sentiment_reasoning"].alias("sentiment_reasoning")
         )
 
-    return F.transform(F.array_union(listed, F.transform(insights, lambda i: i["ticker"])), resolved)
+    # the newest insight of each ticker is looked up once, and both fields are taken from it
+    tickers = F.array_union(listed, F.transform(insights, lambda i: i["ticker"]))
+    backwards = F.reverse(insights)
+    lasts = F.transform(tickers, lambda t: F.get(F.filter(backwards, lambda i: i["ticker"] == t), 0))
+    return F.zip_with(tickers, lasts, named)
 
 
 def article_ticker_rows(articles: DataFrame) -> DataFrame:
