@@ -128,7 +128,46 @@ def test_html(spark):
     for r in pq.read_table(f"{SF}/pages.parquet").to_pylist():
         assert extract(r["html"], trained()) == brute.article(r["html"])
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "<"), (4, "<script>x"), (5, "</p></p>")], "page_id bigint, html string")
-    assert {r.main_text for r in main_text(odd).collect()} == {""}
+    assert {r.page_id: r.main_text for r in main_text(odd).collect()} == {1: "", 2: "", 3: "<", 4: "", 5: ""}  # a lone "<" is text
+
+
+TEXT = "The harvest came in early that autumn, and the barns were full before the first frost reached the valley."
+UNSEEN = [  # (page, its main text); none of these texts or pages is among those the model learned from
+    ("<article><p>%s</p><aside><h3>Related</h3><ul><li><a href=x>Other</a></li></ul></aside></article>"% TEXT, TEXT),
+    ("<article><p>%s</p></article><aside><p>%s %s</p></aside>"% (TEXT, TEXT, TEXT), TEXT),
+    ("<article><p>%s</p><nav><a>Page 1</a></nav></article>"% TEXT, TEXT),
+    ("<article><p>%s</p><footer>Posted by X in Y</footer></article>"% TEXT, TEXT),
+    ("<article><p>%s</p><div class='alert alert-info'>Note: old text.</div></article>"% TEXT, TEXT),
+    ("<body>%s<br>%s</body>"% (TEXT, TEXT),TEXT + " "+ TEXT),
+    (TEXT, TEXT),
+    ("<html><head><title>x</title></head><body><nav><a href=/>Home</a></nav><div class='container'><h1>Barns</h1><p>%s</p><p>Yes.</p></div><footer><p>Copyright Me. All rights reserved.</p></footer></body></html>"% TEXT,"Barns\n\n"+TEXT + "\n\nYes."),
+    ("<body><header><a href=/>Logo</a><nav><ul><li><a>A</a><li><a>B</a></ul></nav></header><main><h1>T</h1><p>%s</p><section class='comments'><p>%s</p></section></main></body>"% (TEXT, TEXT),"T\n\n"+ TEXT),
+    ("<div id=page><div id=main-content><h2>Title</h2>%s<p>%s</p></div><div class='sidebar'><p>%s</p></div></div>"% (TEXT, TEXT, TEXT),"Title\n\n"+TEXT + "\n\n"+ TEXT),
+    ("<article><h1>A</h1><p>%s</p><div class='comments'><h3>Comments</h3><p>Great %s</p></div></article>"% (TEXT, TEXT),"A\n\n"+ TEXT),
+    ("<article><h1>A</h1><div class='ad'><p>%s</p></div><p>%s</p><form><p>Sign up: %s</p></form></article>"% (TEXT, TEXT, TEXT),"A\n\n"+ TEXT),
+    ("<div class='notice'>%s</div><article><p>Short.</p></article>"% TEXT,"Short."),
+    ("<main><p>%s</p><ul><li>one</li><li>two</li></ul></main><div class='related'><a href=a>%s</a></div>"% (TEXT, TEXT),TEXT + "\n\none\n\ntwo"),
+    ("<nav>Menu</nav><footer>Foot</footer>",""),
+    ("<article><header><h1>Head</h1></header><p>%s</p></article><div id='cookie-consent'>We use cookies. %s</div>"% (TEXT, TEXT),"Head\n\n"+ TEXT),
+    ("<body><article><p>%s</p><aside>%s</aside><p>End of it.</p></article></body>"% (TEXT, TEXT),TEXT + "\n\nEnd of it."),
+]
+
+
+@pytest.mark.parametrize("page, want", UNSEEN)
+def test_html_on_other_templates(page, want):
+    from marketloom.llm.html import extract, trained
+
+    assert extract(page, trained()) == want
+
+
+def test_html_tables(spark):
+    from marketloom.llm.html import main_text
+
+    long = "<article>" + "<p>One more line of the long story.</p>" * 40_000 + "</article>"
+    pages = spark.createDataFrame([(1, UNSEEN[0][0]), (1, UNSEEN[0][0]), (2, long)], "page_id bigint, html string").withColumn("label", F.lit("x"))
+    got = [(r.page_id, len(r.main_text)) for r in main_text(pages).orderBy("page_id").collect()]
+    assert got == [(1, len(TEXT)), (1, len(TEXT)), (2, 40_000 * 34 - 2)]
+    assert main_text(pages.limit(0)).count() == 0
 
 
 def test_licenses(spark):
