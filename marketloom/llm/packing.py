@@ -30,18 +30,20 @@ class Packer:
     """Bins are filled one after another. The item taken next is the one whose demand (tokens,
     one segment, loss-bearing tokens, each as a share of its limit) has the largest dot product
     with what the bin has left, among those that fit. When none fits, an item is cut to fill the
-    bin to its last token. Items are (doc, start, length, loss); loss-bearing tokens are spread
-    evenly over an item, so a cut divides them in proportion, rounded up at the front.
+    bin to its last token. Items are (doc, start, length, loss); a document's loss-bearing tokens are those from
+    ``first[doc]`` on, so a cut knows which side they fall on.
     """
 
     def __init__(self, length: int, segments: int, loss: int) -> None:
         self.limits = np.array([length, segments, loss], np.int64)
+        self.first: dict[int, int] = {}
 
-    @staticmethod
-    def _cut(item: tuple, at: int) -> tuple[tuple, tuple]:
-        doc, start, length, loss = item
-        front = -(-loss * at // length)
-        return (doc, start, at, front), (doc, start + at, length - at, loss - front)
+    def item(self, doc: int, start: int, length: int) -> tuple[int, int, int, int]:
+        return doc, start, length, max(0, start + length - max(start, self.first.get(doc, 0)))
+
+    def _cut(self, item: tuple, at: int) -> tuple[tuple, tuple]:
+        doc, start, length, _ = item
+        return self.item(doc, start, at), self.item(doc, start + at, length - at)
 
     def pack(self, items: list[tuple], final: bool) -> tuple[list[list[tuple]], list[tuple]]:
         """Full bins, and the items of the last bin that isn't full (packed too if ``final``)."""
@@ -58,12 +60,13 @@ class Packer:
                     left = left - demand[best]
                     free[best] = False
                     continue
-                if left[0] and left[1] and left[2] and free.any():
+                if left[0] and left[1] and free.any():
                     # the longest is cut: its front fills the bin, as far as loss-bearing tokens allow
                     rest = np.flatnonzero(free)
                     best = rest[np.argmax(demand[rest, 0])]
                     doc, start, length, loss = items[best]
-                    at = int(min(left[0], length - 1, left[2] * length // loss if loss else length))
+                    unscored = max(0, self.first.get(doc, 0) - start)
+                    at = int(min(left[0], length - 1, unscored + left[2]))
                     if at > 0:
                         front, back = self._cut(items[best], at)
                         if front[3] <= left[2]:
@@ -118,15 +121,12 @@ def _pack(
 
     seen = 0
     for batch in batches:
-        ids_col, text_col = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for doc_id, text in zip(ids_col, text_col):
+        for doc_id, text, scored in zip(*(c.to_pylist() for c in batch.columns)):
             ids = (tool.encode(text) if text else b"") + end
             n, step = len(ids) // 4, min(length, loss)
             held[seen] = (doc_id, ids, n)
-            whole = n // step * step
-            items += [(seen, s, step, step) for s in range(0, whole, step)]
-            if n > whole:
-                items.append((seen, whole, n - whole, n - whole))
+            packer.first[seen] = 0 if scored is None else n - min(max(scored, 0), n)
+            items += [packer.item(seen, s, min(step, n - s)) for s in range(0, n, step)]
             seen += 1
             if len(items) >= BLOCK:
                 full = [[x] for x in items if x[2] == length]
@@ -137,6 +137,7 @@ def _pack(
                     count += len(full)
                 still = {x[0] for x in items}
                 held = {k: v for k, v in held.items() if k in still}
+                packer.first = {k: v for k, v in packer.first.items() if k in still}
     full = [[x] for x in items if x[2] == length]
     bins, _ = packer.pack([x for x in items if x[2] < length], True)
     full += [s for b in bins for s in ([b] if sum(x[2] for x in b) == length else packer.split(b))]
@@ -146,18 +147,19 @@ def _pack(
 
 def pack(
     docs: DataFrame, path: str, end_id: int = 1, length: int = LENGTH, segments: int = SEGMENTS, loss: int | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", loss_col: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
 
-    A row's ids are those of the tokenizer file at ``path`` (on every executor), then ``end_id``; all of
-    them bear loss. Null and empty texts are the one id ``end_id``. Each row is packed once; rows that
+    A row's ids are those of the tokenizer file at ``path`` (on every executor), then ``end_id``. The last ``loss_col`` of them
+    bear loss, as the answer behind an unscored prompt does; all of them without that column, or where it is null. Null and empty texts are the one id ``end_id``. Each row is packed once; rows that
     repeat an id are separate documents under that id, and rows without an id keep a null id. Other
     columns are ignored. Each task packs its rows in blocks and hands what doesn't fill a bin to its next
     block, so nothing is shuffled; its last bin becomes sequences of power-of-two lengths. Sequence ids
     hold the partition's number, so a task that runs again gives the same rows.
     """
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"cast(`{text_col}` as string) as text")
+    scored = f"cast(`{loss_col}` as bigint)" if loss_col else "cast(null as bigint)"
+    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"cast(`{text_col}` as string) as text", f"{scored} as scored")
     return rows.mapInArrow(
         partial(_pack, path=path, end_id=end_id, length=length, segments=segments, loss=loss or length), SCHEMA
     )

@@ -131,6 +131,72 @@ def test_html(spark):
     assert {r.page_id: r.main_text for r in main_text(odd).collect()} == {1: "", 2: "", 3: "<", 4: "", 5: ""}  # a lone "<" is text
 
 
+def check_pieces(rows, texts, length, segments, loss=None):
+    """Ids, checksums, gapless offsets, padding only to a power of two, and the limits. texts: (doc_id, text, scored tokens)."""
+    import struct
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    import public_tokenizers as P
+
+    tool = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    pieces, bins = {}, {}
+    for r in rows:
+        pieces.setdefault(r.doc_id, []).append(r)
+        bins.setdefault(r.sequence_id, []).append(r)
+    assert set(pieces) == {i for i, *_ in texts}
+    for i, text, scored in texts:
+        ids, at = tool.encode(text or "", add_special_tokens=False).ids + [1], 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            own = ids[r.start : r.start + r.length]
+            first = len(ids) - (len(ids) if scored is None else min(scored, len(ids)))
+            assert (r.start, r.doc_tokens, len(own)) == (at, len(ids), r.length)
+            assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(own)}I", *own))
+            assert r.loss_tokens == max(0, at + r.length - max(at, first))
+            at += r.length
+        assert at == len(ids)
+    for own in bins.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= length and len(own) <= segments and (loss is None or sum(r.loss_tokens for r in own) <= loss)
+    return [sum(r.length for r in own) for own in bins.values()], [sum(r.loss_tokens for r in own) for own in bins.values()]
+
+
+def test_packing_with_special_tokens_and_repeated_rows(spark):
+    import random
+
+    import public_tokenizers as P
+    from marketloom.llm import packing
+
+    rng = random.Random(2)
+    parts = ["a", " ", "\n\n", "\u2003", "<|endoftext|>", "don't", " the", "\t", "\u5b57", "  ", "1904", "\u00a0", "\x1c"]
+    texts = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 40))), None) for i in range(1500)]
+    texts += [(5000, "a\n\n<|endoftext|>b", None), (5001, "a \u2003<|endoftext|>", None), (5002, None, None), (5003, "word " * 250_000, None)]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id bigint, text string").withColumns({c: F.lit("x") for c in ("start", "scored", "length")})
+    rows = packing.pack(docs, P.path("byte_bpe_50k.json"), length=256, segments=20).collect()
+    totals, _ = check_pieces(rows, texts, 256, 20)
+    assert sum(1 for t in totals if t & (t - 1)) < 0.05 * len(totals)
+    again = packing.pack(docs.filter("doc_id < 3").unionAll(docs.filter("doc_id < 3")), P.path("byte_bpe_50k.json")).collect()
+    assert len({(r.sequence_id, r.offset) for r in again}) == len(again) and {r.doc_id for r in again} == {0, 1, 2}
+    assert packing.pack(docs.limit(0), P.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_packing_where_the_loss_limit_binds_first(spark):
+    """Long prompts without loss and answers with it: bins close on loss-bearing tokens, before tokens or segments are full."""
+    import public_tokenizers as P
+    from marketloom.llm import packing
+
+    texts = [(i, " word" * (20 + i % 13), 18 + i % 5) for i in range(300)] + [(900, " word" * 900, 0), (901, " word" * 900, 5000), (902, " word", None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, answer int").coalesce(1)
+    rows = packing.pack(docs, P.path("byte_bpe_50k.json"), length=512, segments=64, loss=128, loss_col="answer").collect()
+    totals, losses = check_pieces(rows, texts, 512, 64, 128)
+    # bins closed by loss aren't full, and so come as sequences of power-of-two lengths
+    assert sum(x >= 120 for x in losses) > 0.5 * len(losses) and sum(t < 500 for t in totals) > 0.7 * len(totals)
+
+
 TEXT = "The harvest came in early that autumn, and the barns were full before the first frost reached the valley."
 UNSEEN = [  # (page, its main text); none of these texts or pages is among those the model learned from
     ("<article><p>%s</p><aside><h3>Related</h3><ul><li><a href=x>Other</a></li></ul></aside></article>"% TEXT, TEXT),
