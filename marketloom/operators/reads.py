@@ -22,15 +22,16 @@ def latest_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit
 TICKER_SLICES = 32
 
 
-def of_tickers(rows: DataFrame, tickers: DataFrame, slice_by: str) -> DataFrame:
+def of_tickers(rows: DataFrame, tickers: DataFrame, slice_by: str | None = None) -> DataFrame:
     """The rows of the given tickers.
 
     The planner copies a list that it measures to be small. A longer one is joined on (ticker, slice),
-    so that the rows of a hot ticker are dealt over the slices of their ``slice_by``.
+    so that the rows of a hot ticker are dealt over the slices of their ``slice_by``, or else of the task that reads them.
     """
     slices = F.sequence(F.lit(0), F.lit(TICKER_SLICES - 1))
     wanted = tickers.select("ticker").distinct().withColumn("_slice", F.explode(slices))
-    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(slice_by), F.lit(TICKER_SLICES)).cast("int"))
+    own = F.xxhash64(slice_by) if slice_by else F.spark_partition_id()
+    sliced = rows.withColumn("_slice", F.pmod(own, F.lit(TICKER_SLICES)).cast("int"))
     return sliced.join(wanted, ["ticker", "_slice"], "left_semi").drop("_slice")
 
 

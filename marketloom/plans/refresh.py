@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketloom.functions import dates, text
-from marketloom.operators.reads import latest_rows, newest_first
+from marketloom.operators.reads import latest_rows, newest_first, of_tickers
 from marketloom.session import materialize
 from marketloom.sources import landed
 
@@ -25,10 +25,11 @@ def refresh(requests: DataFrame, company_payloads: DataFrame, bar_payloads: Data
     wanted = requests.select(text.normalize_ticker(F.col("ticker")).alias("ticker"), "as_of").filter("ticker IS NOT NULL")
     wanted = wanted.groupBy("ticker").agg(F.max("as_of").alias("as_of"))
     windows = materialize(wanted.select("ticker", start.alias("start_date"), end.alias("end_date")))
-    companies = landed.accepted(landed.normalize_companies(company_payloads.join(windows, "ticker", "left_semi")))
-    bars = bar_payloads.join(windows, "ticker")
-    prices = landed.accepted(landed.normalize_price_bars(bars, F.col("start_date"), F.col("end_date")))
-    news = landed.accepted(landed.normalize_news(news_payloads, keep=["ticker"])).join(windows, "ticker")
+    # payloads stay where they are, or are dealt over a hot ticker's slices; only typed rows meet the windows
+    companies = landed.accepted(landed.normalize_companies(of_tickers(company_payloads, windows)))
+    bars = landed.accepted(landed.normalize_price_bars(of_tickers(bar_payloads, windows))).join(windows, "ticker")
+    prices = bars.filter(F.col("price_date").between(F.col("start_date"), F.col("end_date"))).drop("start_date", "end_date")
+    news = landed.accepted(landed.normalize_news(of_tickers(news_payloads, windows), keep=["ticker"])).join(windows, "ticker")
     recent = news.filter(F.to_date("published_at") >= F.col("start_date")).drop("start_date", "end_date")
     return companies, prices, latest_rows(recent, ["ticker"], newest_first(), NEWS_LIMIT), windows
 
