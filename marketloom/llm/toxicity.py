@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +19,8 @@ from marketloom.llm.common import staged
 SAMPLE = 20_000  # most labelled rows that are learned from
 ENTRIES = 256  # most learned lexicon entries
 CANDIDATES = 4096  # most candidates that are compared with each other, the most frequent in toxic rows
-OWN, SHARED = 48, 8  # the first entries vote each for itself, the others are dealt to so many voters
+OWN, SHARED = 48, 8  # entries that are surely pure vote each for itself, the others are dealt to so many voters
+SURE = 0.9  # the least purity, at 95 % confidence, of an entry with a voter of its own
 LEAST, PURITY, RATIO = 5, 0.85, 20.0  # an entry's toxic rows, the toxic share of its rows, and how much more often toxic rows have it
 STEMS = (4, 5, 6)  # word beginnings that may become entries, besides whole words
 ROUNDS = 12
@@ -49,6 +51,7 @@ class Voters:
     """Lexicon entries ("=word" or "^stem") and the votes they and the patterns cast."""
 
     entries: list[str]
+    own: int = 0  # the first so many have a voter of their own
 
     def __post_init__(self) -> None:
         self.words = {e[1:]: i for i, e in enumerate(self.entries) if e[0] == "="}
@@ -65,7 +68,7 @@ class Voters:
                 hits.update(w for w in words if w[:n] == stem)
         bits = 0
         for i in entries:
-            bits |= 1 << (i if i < OWN else OWN + i % SHARED)
+            bits |= 1 << (i if i < self.own else OWN + i % SHARED)
         general = words & GENERAL
         found = len(hits | general)
         for k, fired in enumerate((bool(general), found > 1, bool(_ATTACK.search(text)), len(_SHOUT.findall(text)) > 4)):
@@ -87,30 +90,46 @@ def inputs(read: list[tuple[int, list[int], int]]) -> np.ndarray:
     return x
 
 
+def _entries(word: str) -> list[str]:
+    return (["=" + word] if len(word) > 2 else []) + ["^" + word[:n] for n in STEMS if len(word) >= n]
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task, in how many toxic and other texts each word and word beginning occurs."""
+    """Per task, in how many toxic and other texts each word and word beginning occurs, and in the toxic ones behind
+    which words, as a bitmap of 64 hash values."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
+    behind: dict[str, int] = {}
 
     def flush() -> pa.RecordBatch:
         keys = list(counts[0].keys() | counts[1].keys())
         out = [pa.array(keys, pa.string())] + [pa.array([c[k] for k in keys], pa.int64()) for c in (counts[1], counts[0])]
-        for c in counts:
+        masks = np.array([behind.get(k, 0) for k in keys], np.uint64).view(np.int64)
+        for c in (*counts, behind):
             c.clear()
-        return pa.RecordBatch.from_arrays(out, ["entry", "toxic", "clean"])
+        return pa.RecordBatch.from_arrays([*out, pa.array(masks)], ["entry", "toxic", "clean", "behind"])
 
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(_WORD.findall((text or "").lower()))
-            seen = {"=" + w for w in words if len(w) > 2}
-            for n in STEMS:
-                seen.update("^" + w[:n] for w in words if len(w) >= n)
-            counts[1 if toxic else 0].update(seen)
+            words = _WORD.findall((text or "").lower())
+            counts[1 if toxic else 0].update({e for w in set(words) for e in _entries(w)})
+            if toxic:
+                for before, w in set(zip(["", *words], words)):
+                    bit = 1 << (zlib.crc32(before.encode()) & 63)
+                    for e in _entries(w):
+                        behind[e] = behind.get(e, 0) | bit
             if len(counts[0]) + len(counts[1]) > 300_000:
                 yield flush()
     yield flush()
 
 
-def choose_entries(found: list[tuple[str, int, int]]) -> list[str]:
+def sure_purity(toxic: int, clean: int) -> float:
+    """The lower end of the 95 % interval of an entry's purity (Wilson)."""
+    n, z = toxic + clean, 1.96
+    p = toxic / n
+    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def choose_entries(found: list[tuple[str, int, int]]) -> Voters:
     """Of candidates (entry, toxic rows, other rows) that say the same one stays, and only then the most frequent are taken.
 
     A beginning gives way to a longer entry that is purer and keeps nine tenths of its toxic rows; the entries it covers go.
@@ -129,19 +148,24 @@ def choose_entries(found: list[tuple[str, int, int]]) -> list[str]:
             kept.append((entry, toxic))
             if entry[0] == "^":
                 stems.add(body)
+    counts = {e: (t, c) for e, t, c in found}
     kept.sort(key=lambda x: (-x[1], x[0]))
-    return [e for e, _ in kept[:ENTRIES]]
+    sure = [e for e, _ in kept if sure_purity(*counts[e]) >= SURE][:OWN]
+    return Voters((sure + [e for e, _ in kept if e not in sure])[:ENTRIES], len(sure))
 
 
-def learn_lexicon(sample: DataFrame) -> list[str]:
-    """Words and word beginnings that at least LEAST toxic rows have, hardly any others, the most frequent first."""
+def learn_lexicon(sample: DataFrame) -> Voters:
+    """Words and word beginnings that at least LEAST toxic rows have, hardly any others, the most frequent first. They must stand behind
+    at least LEAST different words, too: all words of one toxic text that has many copies are as frequent as an insult, but where
+    they stand is always the same."""
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic:
-        return []
+        return Voters([])
     found = (
-        sample.select("text", "toxic").mapInArrow(_candidates, "entry string, toxic bigint, clean bigint")
-        .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        sample.select("text", "toxic").mapInArrow(_candidates, "entry string, toxic bigint, clean bigint, behind bigint")
+        .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("behind")).alias("behind"))
+        .filter(F.col("behind") >= LEAST)
         .filter((F.col("toxic") >= LEAST) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
         .filter(F.col("toxic") / toxic >= RATIO * (F.col("clean") + 0.5) / (clean + 1))
         .orderBy(F.desc("toxic"), F.length("entry"), "entry").limit(CANDIDATES).collect()
@@ -151,21 +175,21 @@ def learn_lexicon(sample: DataFrame) -> list[str]:
 
 @dataclass
 class LabelModel:
-    """Log odds of the classes, of a fired vote, of a fired vote whose parent in the tree of correlations fired, too, and of silence.
+    """Log odds of the classes, and of each vote given that of its parent in the tree of correlations: ``odds[j, s, v]`` for
+    vote v of voter j where its parent's is s (0 for a root).
 
-    Voters that repeat each other are neighbours in that tree: what both say counts once, as far as the second
-    vote is explained by the first in either class. Votes of voters that aren't neighbours add up.
+    Voters that repeat each other are neighbours in that tree, so what both say counts once, as far as the second vote is explained
+    by the first in either class; and what a vote says by itself differs from what it says beside others.
     """
 
     prior: float
-    fired: np.ndarray
     parent: np.ndarray
-    after: np.ndarray
-    silent: float
+    odds: np.ndarray
 
     def logits(self, votes: np.ndarray) -> np.ndarray:
-        again = votes * votes[:, self.parent] * (self.parent != np.arange(VOTERS))
-        return self.prior + votes @ self.fired + again @ (self.after - self.fired) + (votes.sum(axis=1) == 0) * self.silent
+        above = votes[:, self.parent] * (self.parent != np.arange(VOTERS))
+        (n0, f0), (n1, f1) = self.odds.transpose(1, 2, 0)
+        return self.prior + ((1 - above) * (n0 + votes * (f0 - n0)) + above * (n1 + votes * (f1 - n1))).sum(axis=1)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(votes), -30, 30)))
@@ -190,26 +214,26 @@ def _tree(rates: np.ndarray, both: np.ndarray) -> np.ndarray:
     return parent
 
 
-def maximise(mass: np.ndarray, ones: np.ndarray, pairs: np.ndarray, quiet: np.ndarray) -> LabelModel:
-    """The model of (expected) counts: rows per class, rows a voter fires in, rows two voters fire in, rows without any vote."""
+def maximise(mass: np.ndarray, ones: np.ndarray, pairs: np.ndarray) -> LabelModel:
+    """The model of (expected) counts: rows per class, rows a voter fires in, rows two voters fire in."""
     total = mass[:, None] + 2
     rate = (ones + 0.1) / total
-    joint = pairs / total[:, :, None]
-    parent = _tree(rate, joint)
+    parent = _tree(rate, pairs / total[:, :, None])
     own = np.arange(VOTERS)
-    # a pair seen in few rows of a class counts as independent there
-    after = (pairs[:, own, parent] + 5 * rate) / (ones[:, parent] + 5)
-    silent = (quiet + 0.1) / total[:, 0]
+    root = parent == own
+    with_parent = np.where(root, 0, pairs[:, own, parent])
+    parents = np.where(root, 0, ones[:, parent])
+    # rates given the parent's vote; cells of few rows lean towards the voter's own rate
+    given = np.stack([(ones - with_parent + rate) / (mass[:, None] - parents + 1), (with_parent + rate) / (parents + 1)])
+    given = np.clip(given, 1e-5, 1 - 1e-5)
+    odds = np.stack([np.log((1 - given[:, 1]) / (1 - given[:, 0])), np.log(given[:, 1] / given[:, 0])])  # vote, parent's vote, voter
     prior = float(np.clip(mass[1] / max(mass.sum(), 1e-9), 1e-3, 0.5))
-    return LabelModel(
-        float(np.log(prior / (1 - prior))), np.log(rate[1] / rate[0]), parent, np.log(np.clip(after[1], 1e-6, 1) / np.clip(after[0], 1e-6, 1)),
-        float(np.log(silent[1] / silent[0])),
-    )
+    return LabelModel(float(np.log(prior / (1 - prior))), parent, odds.transpose(2, 1, 0))
 
 
 def _expect(batches: Iterator[pa.RecordBatch], model: LabelModel | None) -> Iterator[pa.RecordBatch]:
     """One task's expected counts; labelled rows keep their class, and without a model they are the only ones."""
-    sums = np.zeros(2 + 2 * VOTERS + 2 * VOTERS * VOTERS + 2)
+    sums = np.zeros(2 + 2 * VOTERS + 2 * VOTERS * VOTERS)
     for batch in batches:
         pattern, n, clean, toxic = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         votes = votes_of(pattern.astype(np.int64))
@@ -217,9 +241,8 @@ def _expect(batches: Iterator[pa.RecordBatch], model: LabelModel | None) -> Iter
         if model is not None:
             p = model.posterior(votes)
             mass += np.maximum(n - clean - toxic, 0) * np.stack([1 - p, p])
-        quiet = votes.sum(axis=1) == 0
         pairs = [(votes * m[:, None]).T @ votes for m in mass]
-        sums += np.concatenate([mass.sum(axis=1), (mass @ votes).ravel(), np.ravel(pairs), mass[:, quiet].sum(axis=1)])
+        sums += np.concatenate([mass.sum(axis=1), (mass @ votes).ravel(), np.ravel(pairs)])
     yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
 
@@ -229,11 +252,11 @@ def fit_label_model(patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
     model = None
     for _ in range(rounds + 1):
         rows = patterns.mapInArrow(partial(_expect, model=model), "sums binary").collect()
-        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], axis=0) if rows else np.zeros(4 + 2 * VOTERS + 2 * VOTERS**2)
-        mass, ones, pairs, quiet = np.split(sums, np.cumsum([2, 2 * VOTERS, 2 * VOTERS * VOTERS]))
+        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], axis=0) if rows else np.zeros(2 + 2 * VOTERS + 2 * VOTERS**2)
+        mass, ones, pairs = np.split(sums, np.cumsum([2, 2 * VOTERS]))
         if model is None:
             mass = mass + [0.5, 0.5]  # without labels the classes begin even
-        model = maximise(mass, ones.reshape(2, -1), pairs.reshape(2, VOTERS, VOTERS), quiet)
+        model = maximise(mass, ones.reshape(2, -1), pairs.reshape(2, VOTERS, VOTERS))
     return model
 
 
@@ -285,6 +308,19 @@ def _patterns(batches: Iterator[pa.RecordBatch], voters: Voters) -> Iterator[pa.
     yield flush()
 
 
+def _known(sample: DataFrame, voters: Voters) -> DataFrame:
+    """What the voters read in the labelled rows."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = [voters.read(t or "") for t in batch.column(0).to_pylist()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*seen), (pa.int64(), pa.list_(pa.int32()), pa.int32()))] if seen else []
+            if columns:
+                yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["pattern", "entries", "found", "toxic"])
+
+    return sample.select("text", "toxic").mapInArrow(read, "pattern bigint, entries array<int>, found int, toxic int")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) outside the held-out rows.
 
@@ -302,20 +338,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
     sample = staged(docs.join(F.broadcast(staged(chosen, "labels")), "doc_id"), "sample")
-    voters = Voters(learn_lexicon(sample))
-
+    voters = learn_lexicon(sample)
+    known = staged(_known(sample, voters), "known")
     counted = docs.select("text").mapInArrow(partial(_patterns, voters=voters), "pattern bigint, n bigint")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [voters.read(t or "") for t in batch.column(0).to_pylist()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*seen), (pa.int64(), pa.list_(pa.int32()), pa.int32()))] if seen else []
-            if columns:
-                yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["pattern", "entries", "found", "toxic"])
-
-    known = staged(
-        sample.select("text", "toxic").mapInArrow(read, "pattern bigint, entries array<int>, found int, toxic int"), "known"
-    )
     of = [F.count_if(F.col("toxic") == y).alias(name) for y, name in ((0, "clean"), (1, "toxic"))]
     none = F.lit(0).cast("bigint")
     patterns = (
@@ -326,8 +352,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     model = fit_label_model(staged(patterns, "patterns"))
     rows = known.collect()  # at most ``sample_rows``
     x = inputs([(r["pattern"], r["entries"], r["found"]) for r in rows])
-    # a vote that the rows hardly show weighs what the label model says
-    start = np.concatenate([np.zeros(ENTRIES), model.fired - model.silent, [0.0, model.prior + model.silent]])
+    # a vote that the rows hardly show weighs what it says by itself in the label model
+    silent, alone = model.logits(np.zeros((1, VOTERS)))[0], model.logits(np.eye(VOTERS))
+    start = np.concatenate([np.zeros(ENTRIES), np.clip(alone - silent, -15, 15), [0.0, silent]])
     weights = fit_linear(x, model.posterior(x[:, ENTRIES:-1]), start)
     return Model(voters, model, weights[:-1], float(weights[-1]))
 

@@ -290,13 +290,58 @@ def test_vectors_in_a_large_group(spark):
     assert got == dict(enumerate(want.tolist()))
 
 
-def test_toxicity_separates_held_out_rows(spark):
-    import __spark_entry__ as e
+def test_toxicity_on_held_out_rows(spark):
+    """Ranking, recall and precision at the cut, and what a single sure insult does to a clean text."""
+    import re
 
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
-    rows = e.queries()["op4_toxicity"](spark, "/root/testdata/sf0.1").collect()
-    assert all(r.held_out == brute.held_out(r.doc_id) for r in rows)
-    assert brute.auc([(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]) > 0.9
+    from marketloom.llm import toxicity
+    from marketloom.llm.common import table
+
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).select("doc_id", "score").collect()}
+    held = [i for i in scores if i in labels and brute.held_out(i)]
+    assert brute.auc([(scores[i], labels[i]) for i in held]) > 0.9
+
+    # entries that at least 20 labelled toxic rows have and hardly any other: each lifts an otherwise clean text over the cut
+    words = {i: set(re.findall(r"[^\W\d_]+", texts[i].lower())) for i in labels if i in texts and not brute.held_out(i)}
+    sure = set()
+    for entry in model.voters.entries:
+        rows = [i for i, w in words.items() if any(x == entry[1:] if entry[0] == "=" else x.startswith(entry[1:]) for x in w)]
+        toxic = sum(labels[i] for i in rows)
+        if toxic >= 20 and toxic >= 0.95 * len(rows):
+            sure.add(entry)
+            assert model.scores([f"the fields were {entry[1:]} under water"])[0] >= toxicity.CUT, entry
+    assert len(sure) >= 5
+    assert max(model.scores(["the fields were under water", "", None])) < 0.2
+
+    # of held-out toxic rows with any such insult all are found, and hardly a clean row is
+    def insulted(i):
+        w = re.findall(r"[^\W\d_]+", texts[i].lower())
+        return any(x.startswith(e[1:]) for x in w for e in sure)
+
+    named = [i for i in held if labels[i] and insulted(i)]
+    assert len(named) > 50 and sum(scores[i] >= toxicity.CUT for i in named) >= 0.95 * len(named)
+    clean = [i for i in held if not labels[i]]
+    assert sum(scores[i] >= toxicity.CUT for i in clean) <= 0.01 * len(clean)
+
+
+def test_toxicity_of_odd_tables(spark):
+    from marketloom.llm import toxicity
+
+    rows = [(i, f"fine words {i} here and there") for i in range(40)] + [(100 + i, f"you wretchling {i} of a thing") for i in range(20)]
+    rows += [(None, "you wretchling"), (300, None), (300, ""), (100, "you wretchling 0 of a thing"), (301, "wretchling " * 120_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit("x") for c in ("toxic", "pattern", "n")})
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows if i is not None and i < 200] + [(None, 1), (5, None)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = [(r.doc_id, r.score) for r in toxicity.score(docs, model).collect()]
+    assert len(got) == len(rows)
+    assert all((s >= 0.7) == (i is None or 100 <= i < 200 or i == 301) for i, s in got), got
+    nothing = toxicity.fit(docs.limit(0), labels.limit(0))
+    assert toxicity.score(docs.limit(0), nothing).count() == 0 and 0 <= nothing.scores(["idiot"])[0] <= 1
 
 
 def test_pipeline_against_plain_stages(spark):
