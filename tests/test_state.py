@@ -141,13 +141,6 @@ def test_json_safe_keeps_microseconds(spark):
     assert tuple(got) == ("2026-01-02T03:04:05.678901+00:00", "2026-01-02T03:04:05+00:00")
 
 
-def test_change_log_is_empty_before_the_first_batch(spark, tmp_path):
-    from marketloom.streaming.ingest import read_change_log
-
-    like = spark.createDataFrame([("a", 1)], "k string, seq int")
-    assert read_change_log(spark, str(tmp_path / "log"), like).count() == 0
-
-
 def test_cascade(spark):
     users = spark.createDataFrame([(1,), (2,)], "id long")
     lists = spark.createDataFrame([(10, 1), (20, 2)], "id long, user_id long")
