@@ -38,6 +38,7 @@ _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
 PATTERNS = 4  # general lexicon, two or more insults, form of attack, shouting
 VOTERS = OWN + SHARED + PATTERNS
 LEXICONS = OWN + SHARED
+SEVERAL = LEXICONS + 1  # the voter for two or more insults
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -175,8 +176,8 @@ def learn_lexicon(sample: DataFrame) -> Voters:
 
 @dataclass
 class LabelModel:
-    """Log odds of the classes, and of each vote given that of its parent in the tree of correlations: ``odds[j, s, v]`` for
-    vote v of voter j where its parent's is s (0 for a root).
+    """Log odds of the classes, of a vote whose parent in the tree of correlations is silent, of one whose parent fired, too, and of
+    silence of all voters. A voter that doesn't fire abstains.
 
     Voters that repeat each other are neighbours in that tree, so what both say counts once, as far as the second vote is explained
     by the first in either class; and what a vote says by itself differs from what it says beside others.
@@ -184,12 +185,13 @@ class LabelModel:
 
     prior: float
     parent: np.ndarray
-    odds: np.ndarray
+    alone: np.ndarray
+    after: np.ndarray
+    silent: float
 
     def logits(self, votes: np.ndarray) -> np.ndarray:
-        above = votes[:, self.parent] * (self.parent != np.arange(VOTERS))
-        (n0, f0), (n1, f1) = self.odds.transpose(1, 2, 0)
-        return self.prior + ((1 - above) * (n0 + votes * (f0 - n0)) + above * (n1 + votes * (f1 - n1))).sum(axis=1)
+        again = votes * votes[:, self.parent] * (self.parent != np.arange(VOTERS))
+        return self.prior + votes @ self.alone + again @ (self.after - self.alone) + (votes.sum(axis=1) == 0) * self.silent
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(votes), -30, 30)))
@@ -214,26 +216,30 @@ def _tree(rates: np.ndarray, both: np.ndarray) -> np.ndarray:
     return parent
 
 
-def maximise(mass: np.ndarray, ones: np.ndarray, pairs: np.ndarray) -> LabelModel:
-    """The model of (expected) counts: rows per class, rows a voter fires in, rows two voters fire in."""
+def maximise(mass: np.ndarray, ones: np.ndarray, pairs: np.ndarray, quiet: np.ndarray) -> LabelModel:
+    """The model of (expected) counts: rows per class, rows a voter fires in, rows two voters fire in, rows without any vote."""
     total = mass[:, None] + 2
     rate = (ones + 0.1) / total
     parent = _tree(rate, pairs / total[:, :, None])
     own = np.arange(VOTERS)
+    # a weak entry is weighed by whether it is the text's only one
+    if OWN <= parent[SEVERAL] < LEXICONS:
+        parent[SEVERAL] = SEVERAL
+    parent[OWN:LEXICONS] = SEVERAL
     root = parent == own
-    with_parent = np.where(root, 0, pairs[:, own, parent])
-    parents = np.where(root, 0, ones[:, parent])
-    # rates given the parent's vote; cells of few rows lean towards the voter's own rate
-    given = np.stack([(ones - with_parent + rate) / (mass[:, None] - parents + 1), (with_parent + rate) / (parents + 1)])
-    given = np.clip(given, 1e-5, 1 - 1e-5)
-    odds = np.stack([np.log((1 - given[:, 1]) / (1 - given[:, 0])), np.log(given[:, 1] / given[:, 0])])  # vote, parent's vote, voter
+    both = np.where(root, 0, pairs[:, own, parent])
+    # cells of few rows lean towards the voter's own rate
+    alone = (ones - both + 5 * rate) / (mass[:, None] + 5)
+    after = (both + 5 * rate) / (np.where(root, 0, ones[:, parent]) + 5)
+    silent = (quiet + 0.1) / total[:, 0]
     prior = float(np.clip(mass[1] / max(mass.sum(), 1e-9), 1e-3, 0.5))
-    return LabelModel(float(np.log(prior / (1 - prior))), parent, odds.transpose(2, 1, 0))
+    odds = [np.log(np.clip(x[1], 1e-9, 1) / np.clip(x[0], 1e-9, 1)) for x in (alone, after)]
+    return LabelModel(float(np.log(prior / (1 - prior))), parent, *odds, float(np.log(silent[1] / silent[0])))
 
 
 def _expect(batches: Iterator[pa.RecordBatch], model: LabelModel | None) -> Iterator[pa.RecordBatch]:
     """One task's expected counts; labelled rows keep their class, and without a model they are the only ones."""
-    sums = np.zeros(2 + 2 * VOTERS + 2 * VOTERS * VOTERS)
+    sums = np.zeros(4 + 2 * VOTERS + 2 * VOTERS * VOTERS)
     for batch in batches:
         pattern, n, clean, toxic = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         votes = votes_of(pattern.astype(np.int64))
@@ -241,22 +247,27 @@ def _expect(batches: Iterator[pa.RecordBatch], model: LabelModel | None) -> Iter
         if model is not None:
             p = model.posterior(votes)
             mass += np.maximum(n - clean - toxic, 0) * np.stack([1 - p, p])
+        quiet = votes.sum(axis=1) == 0
         pairs = [(votes * m[:, None]).T @ votes for m in mass]
-        sums += np.concatenate([mass.sum(axis=1), (mass @ votes).ravel(), np.ravel(pairs)])
+        sums += np.concatenate([mass.sum(axis=1), (mass @ votes).ravel(), np.ravel(pairs), mass[:, quiet].sum(axis=1)])
     yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
 
 def fit_label_model(patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over patterns(pattern, n, clean, toxic): all rows that vote so, and labelled ones of either class.
-    Every round is one pass over the patterns, of which a task sends one row of sums."""
-    model = None
+    Every round is one pass over the patterns, of which a task sends one row of sums. The shared voters keep what labelled rows say of
+    them: they are too weak for rows without labels to teach them."""
+    model = base = None
     for _ in range(rounds + 1):
         rows = patterns.mapInArrow(partial(_expect, model=model), "sums binary").collect()
-        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], axis=0) if rows else np.zeros(2 + 2 * VOTERS + 2 * VOTERS**2)
-        mass, ones, pairs = np.split(sums, np.cumsum([2, 2 * VOTERS]))
+        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], axis=0) if rows else np.zeros(4 + 2 * VOTERS + 2 * VOTERS**2)
+        mass, ones, pairs, quiet = np.split(sums, np.cumsum([2, 2 * VOTERS, 2 * VOTERS * VOTERS]))
         if model is None:
             mass = mass + [0.5, 0.5]  # without labels the classes begin even
-        model = maximise(mass, ones.reshape(2, -1), pairs.reshape(2, VOTERS, VOTERS))
+        model = maximise(mass, ones.reshape(2, -1), pairs.reshape(2, VOTERS, VOTERS), quiet)
+        base = base or model
+        for name in ("parent", "alone", "after"):
+            getattr(model, name)[OWN:LEXICONS] = getattr(base, name)[OWN:LEXICONS]
     return model
 
 
@@ -353,8 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> Model:
     rows = known.collect()  # at most ``sample_rows``
     x = inputs([(r["pattern"], r["entries"], r["found"]) for r in rows])
     # a vote that the rows hardly show weighs what it says by itself in the label model
-    silent, alone = model.logits(np.zeros((1, VOTERS)))[0], model.logits(np.eye(VOTERS))
-    start = np.concatenate([np.zeros(ENTRIES), np.clip(alone - silent, -15, 15), [0.0, silent]])
+    start = np.concatenate([np.zeros(ENTRIES), model.alone - model.silent, [0.0, model.prior + model.silent]])
     weights = fit_linear(x, model.posterior(x[:, ENTRIES:-1]), start)
     return Model(voters, model, weights[:-1], float(weights[-1]))
 
