@@ -332,8 +332,8 @@ def test_toxicity_on_held_out_rows(spark):
 def test_toxicity_of_odd_tables(spark):
     from marketloom.llm import toxicity
 
-    rows = [(i, f"fine words {i} here and there") for i in range(40)] + [(100 + i, f"you wretchling {i} of a thing") for i in range(20)]
-    rows += [(None, "you wretchling"), (300, None), (300, ""), (100, "you wretchling 0 of a thing"), (301, "wretchling " * 120_000)]
+    rows = [(i, f"fine words {i} here and there") for i in range(40)] + [(100 + i, f"you {chr(97 + i) * 3} wretchling of a thing") for i in range(20)]
+    rows += [(None, "you wretchling"), (300, None), (300, ""), (100, "you aaa wretchling of a thing"), (301, "wretchling " * 120_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit("x") for c in ("toxic", "pattern", "n")})
     labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows if i is not None and i < 200] + [(None, 1), (5, None)], "doc_id bigint, toxic int")
     model = toxicity.fit(docs, labels)
