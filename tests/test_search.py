@@ -212,3 +212,38 @@ def test_hits_are_described_with_all_related_tickers(spark, fixture):
     for (article, _), r in out.items():
         assert r.tickers == sorted(t for a, t, _, _ in tickers if a == article) and abs(r.similarity - (1 - r.distance)) < 1e-12
         assert (r.ticker, r.sentiment, r.title) == (None, None, "T" + article[1:])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_slice_is_scored_for_few_questions_at_a_time(fixture, tmp_path, monkeypatch):
+    """Many questions and large cells are streamed: no group of rows and questions arrives in a worker as a whole."""
+    chunks, links, asked, rows, _, questions = fixture
+    many = asked.crossJoin(asked.sparkSession.range(6)).select((F.col("request_id") + 100 * F.col("id")).alias("request_id"), "ticker", "query")
+    want = {rid + 100 * i: brute(rows, q, 4) for rid, _, _, q in questions for i in range(6)}
+    monkeypatch.setattr(search, "ASKED", 7)
+    hits = search.search_batch(many, chunks, 4)
+    assert got(hits) == want
+    assert "CoGroup" not in _plan(hits) and "CoGroup" not in _plan(search.search_batch_by_ticker(many, chunks, links, 4))
+    path = str(tmp_path / "index")
+    search.write_index(chunks, path, cells=3)
+    monkeypatch.setattr(search, "SLICE", 11)
+    hits = search.search_index(many.select("request_id", "query"), path, 4, probes=3)
+    assert "CoGroup" not in _plan(hits)
+    sound = [r for r in rows if r[3] is not None and any(r[3])]  # vectors without a length are in no cell that is probed
+    assert got(hits) == {rid + 100 * i: brute(sound, q, 4) for rid, _, _, q in questions for i in range(6)}
+
+
+def test_models_see_few_texts_at_a_time(spark):
+    class Counting(embed.HashingModel):
+        def encode(self, sentences, **options):
+            assert len(sentences) <= 256
+            return super().encode(sentences, **options)
+
+    texts = spark.range(0, 1500, 1, 1).select("id", F.when(F.col("id") % 7 == 0, " ").otherwise(F.concat(F.lit("word "), F.col("id").cast("string"))).alias("t"))
+    made = {r.id: r.embedding for r in embed.embed(texts, "t", ["id"], Counting).collect()}
+    assert sorted(made) == [i for i in range(1500) if i % 7]
+    for i in (1, 255, 256, 257, 1499):
+        assert made[i] == [float(x) for x in np.float32(embed.HashingModel().encode([f"word {i}"])[0])]
