@@ -17,6 +17,7 @@ from marketloom.sources.versions import VersionedTable
 CHUNK_SIZE = 1200
 CHUNK_OVERLAP = 200
 MINIMUM_CHARACTERS = 200
+HELD_CHARACTERS = 1 << 20  # of texts whose chunks a Python worker holds before it hands them on
 
 CHUNK_SCHEMA = T.StructType(
     [T.StructField("article_id", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk_text", T.StringType())]
@@ -182,19 +183,26 @@ def chunk_articles(
     normalized = contents.select("article_id", text.collapse_ws(F.col(text_column)).alias("_text"), *carry)
     schema = T.StructType([*CHUNK_SCHEMA.fields, *(normalized.schema[c] for c in carry)])
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            of, numbers, pieces = [], [], []
-            for place, body in enumerate(batch["_text"]):
-                parts = [p for p in (body[a:b].strip() for a, b in chunk_spans(body, size, overlap)) if p]
-                of += [place] * len(parts)
-                numbers += range(len(parts))
-                pieces += parts
-            if of:
-                rows = {"article_id": batch["article_id"].to_numpy()[of], "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces}
-                yield pd.DataFrame(rows | {c: batch[c].to_numpy()[of] for c in carry})
-
-    return normalized.mapInPandas(split, schema)
+            yield from _split(batch, size, overlap, carry)
+
+    return normalized.mapInPandas(run, schema)
+
+
+def _split(batch: pd.DataFrame, size: int, overlap: int, carry: tuple[str, ...]) -> Iterator[pd.DataFrame]:
+    """Chunk rows of a batch, handed on as soon as they stand for HELD_CHARACTERS of text."""
+    of, numbers, pieces, held = [], [], [], 0
+    for place, body in enumerate(batch["_text"]):
+        parts = [p for p in (body[a:b].strip() for a, b in chunk_spans(body, size, overlap)) if p]
+        of += [place] * len(parts)
+        numbers += range(len(parts))
+        pieces += parts
+        held += len(body)
+        if pieces and (held >= HELD_CHARACTERS or place + 1 == len(batch)):
+            rows = {"article_id": batch["article_id"].to_numpy()[of], "chunk_index": np.array(numbers, dtype="int32"), "chunk_text": pieces}
+            yield pd.DataFrame(rows | {c: batch[c].to_numpy()[of] for c in carry})
+            of, numbers, pieces, held = [], [], [], 0
 
 
 def content_job(articles: DataFrame, bodies: DataFrame, chunks: DataFrame, max_articles: int | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,14 @@ def test_hash_model(spark):
     assert made.filter(~vectors.is_valid_vector(F.col("embedding"))).count() == 0
     by_id = {r.i: np.array(r.embedding) for r in made.collect()}
     assert np.allclose(by_id[3], by_id[40]) and abs(np.linalg.norm(by_id[5]) - 1) < 1e-6
+
+
+def test_chunks_leave_a_worker_before_a_batch_is_over(spark, monkeypatch):
+    texts = [(f"a{i}", " ".join(f"w{i}x{j}" for j in range(300 * (i % 4))), i) for i in range(40)]
+    df = spark.createDataFrame(texts, "article_id string, t string, n long").coalesce(1)
+    monkeypatch.setattr(content, "HELD_CHARACTERS", 2000)
+    want = {(a, n, i, t[x:y].strip()) for a, t, n in texts for i, (x, y) in enumerate(content.chunk_spans(t, 500, 100))}
+    out = content.chunk_articles(df, "t", 500, 100, carry=("n",))
+    assert {(r.article_id, r.n, r.chunk_index, r.chunk_text) for r in out.collect()} == want
+    frames = list(content._split(df.withColumnRenamed("t", "_text").toPandas(), 500, 100, ("n",)))
+    assert len(frames) > 25 and set(pd.concat(frames)[["article_id", "n", "chunk_index", "chunk_text"]].itertuples(index=False, name=None)) == want
