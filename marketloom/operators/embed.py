@@ -16,6 +16,7 @@ from marketloom.operators import content
 from marketloom.schemas import EMBEDDING_DIMENSION, VECTOR
 from marketloom.sources.versions import VersionedTable
 
+SENTENCES = 256  # texts that a model sees at a time, so that its work arrays don't grow with the Arrow batch
 
 STORE_SCHEMA = T.StructType([
     T.StructField("article_id", T.StringType()), T.StructField("chunk_index", T.IntegerType()), T.StructField("embedding", VECTOR),
@@ -42,7 +43,7 @@ class HashingModel:
 
     def __init__(self, dimension: int = EMBEDDING_DIMENSION) -> None:
         self.dimension = dimension
-        self._place = lru_cache(maxsize=200_000)(self._hash)
+        self._place = lru_cache(maxsize=50_000)(self._hash)
 
     def _hash(self, word: str) -> tuple[int, float]:
         digest = hashlib.md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).hexdigest()
@@ -65,7 +66,7 @@ class HashingModel:
 def embed(df: DataFrame, text_column: str, keys: Sequence[str], model_factory: ModelFactory = HashingModel, dimension: int = EMBEDDING_DIMENSION, output: str = "embedding", partitions: int | None = None) -> DataFrame:
     """(keys, text) -> (keys, vector). Blank text has no vector and is left out.
 
-    The model is made once per task and sees Arrow batches of normalized text; a vector of the
+    The model is made once per task and sees at most SENTENCES normalized texts at a time; a vector of the
     wrong length or with a non-finite value fails the job. ``partitions`` spreads the rows evenly
     by key first, worth its shuffle when the model costs more than moving the text.
     """
@@ -74,16 +75,17 @@ def embed(df: DataFrame, text_column: str, keys: Sequence[str], model_factory: M
         normalized = normalized.repartition(partitions, *keys)
     schema = T.StructType([*normalized.drop("_text").schema.fields, T.StructField(output, VECTOR, False)])
 
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = model_factory()
         for batch in batches:
             batch = batch[batch["_text"] != ""]
-            if not len(batch):
-                continue
-            made = np.asarray(model.encode(batch["_text"].tolist(), convert_to_numpy=True, normalize_embeddings=True))
-            if made.shape != (len(batch), dimension) or not np.isfinite(made).all():
-                raise ValueError("The embedding model returned an unusable vector.")
-            yield batch.drop(columns="_text").assign(**{output: list(made.astype("float32"))})
+            for first in range(0, len(batch), SENTENCES):
+                part = batch.iloc[first : first + SENTENCES]
+                made = np.asarray(model.encode(part["_text"].tolist(), convert_to_numpy=True, normalize_embeddings=True))
+                if made.shape != (len(part), dimension) or not np.isfinite(made).all():
+                    raise ValueError("The embedding model returned an unusable vector.")
+                yield part.drop(columns="_text").assign(**{output: list(made.astype("float32"))})
 
     return normalized.mapInPandas(run, schema)
 
