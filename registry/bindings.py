@@ -114,9 +114,17 @@ class Data:
         )
 
     def prices(self) -> DataFrame:
+        """The last line of each (supplier, day) as a bar. The lines' own narrow columns are reduced; the bar's decimals, made
+        from one line each, come after that."""
+
         def build() -> DataFrame:
-            seq = ["seq1", "seq2", "seq3"]
-            return state.last_write(self.price_feed().drop("line_status"), ["ticker", "price_date"], seq).drop(*seq)
+            day = F.col("l_shipdate").cast("date").alias("l_shipdate")
+            lines = self.table("lineitem").select(
+                "l_suppkey", day, "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey",
+                F.lit(None).cast("string").alias("l_linestatus"),
+            )
+            last = state.last_write(lines, ["l_suppkey", "l_shipdate"], ["l_orderkey", "l_linenumber", "l_partkey"])
+            return self.price_feed(last).drop("line_status", "seq1", "seq2", "seq3")
 
         return self.stored("price_snapshots", build)
 
@@ -133,9 +141,9 @@ class Data:
             F.when(F.col("o_totalprice") >= 10000, F.col("o_orderdate")).alias("published_at"),
         )
 
-    def article_ticker_feed(self) -> DataFrame:
+    def article_ticker_feed(self, lines: DataFrame | None = None) -> DataFrame:
         flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
+        return (self.table("lineitem") if lines is None else lines).select(
             text("l_orderkey").alias("article_id"),
             F.concat(F.lit("S"), text("l_suppkey")).alias("ticker"),
             F.when(flag == "R", "negative").when(flag == "A", "neutral").alias("sentiment"),
@@ -147,8 +155,11 @@ class Data:
 
     def article_tickers(self) -> DataFrame:
         def build() -> DataFrame:
-            seq = ["seq1", "seq2", "seq3"]
-            return state.last_write(self.article_ticker_feed().drop("line_status"), ["article_id", "ticker"], seq).drop(*seq)
+            lines = self.table("lineitem").select(
+                "l_orderkey", "l_suppkey", "l_returnflag", "l_linenumber", "l_partkey", "l_extendedprice", F.lit(None).cast("string").alias("l_linestatus")
+            )
+            last = state.last_write(lines, ["l_orderkey", "l_suppkey"], ["l_linenumber", "l_partkey", "l_extendedprice"])
+            return self.article_ticker_feed(last).drop("line_status", "seq1", "seq2", "seq3")
 
         return self.stored("news_article_tickers", build)
 
