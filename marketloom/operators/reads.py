@@ -136,10 +136,16 @@ def stock_summary(companies: DataFrame, prices: DataFrame, articles: DataFrame,
         F.min("price_date").alias("minimum_price_date"),
         F.max("price_date").alias("maximum_price_date"),
     )
-    linked = article_tickers.join(articles.select("article_id", "published_at"), "article_id")
+    # an article counts at its first link to the ticker and its first row: marked in the join's own sorts, so no task holds a table of pairs
+    by_ticker = W.partitionBy("article_id").orderBy("ticker")
+    new_link = F.row_number().over(by_ticker) == F.rank().over(by_ticker)
+    first_row = F.row_number().over(W.partitionBy("article_id").orderBy("published_at")) == 1
+    linked = article_tickers.select("article_id", "ticker", new_link.alias("_new")).join(
+        articles.select("article_id", "published_at", first_row.alias("_first")), "article_id"
+    )
     news = linked.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("news_associations"),
-        F.count_distinct("article_id").alias("distinct_news_articles"),
+        F.count_if(F.col("_new") & F.col("_first")).alias("distinct_news_articles"),
         F.max("published_at").alias("newest_published_at"),
     )
     newest = recent_news(articles, article_tickers, headlines)

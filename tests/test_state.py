@@ -271,3 +271,24 @@ def test_declared_constraints(spark):
         ("users", "primary_key"): 1, ("users", "not_null:id"): 1, ("users", "not_null:email"): 1, ("watchlists", "primary_key"): 1,
         ("watchlists", "not_null:id"): 0, ("watchlists", "not_null:user_id"): 1, ("watchlists", "not_null:name"): 0, ("watchlists", "foreign_key:user_id"): 2,
     }
+
+
+def test_summaries_count_articles_without_a_table_of_pairs(spark):
+    """Repeated links and articles, and keys that are NULL or unknown, count as before; no task groups all (ticker, article) pairs."""
+    day = [dt.datetime(2024, 1, n) for n in range(1, 9)]
+    links = [("a", "T1"), ("a", "T1"), ("a", "T2"), ("b", "T1"), ("b", None), ("b", None), ("c", "T2"), ("c", "T1"), ("x", "T1"), (None, "T1"), ("d", "T3"), ("x", "T4")]
+    rows = [("a", day[1]), ("a", day[5]), ("b", None), ("c", day[2]), ("c", day[2]), ("c", None), ("d", None), (None, day[7]), ("e", day[7])]
+    feed = spark.createDataFrame([(a, t, None, None) for a, t in links], "article_id string, ticker string, sentiment string, sentiment_reasoning string")
+    articles = spark.createDataFrame([(a, f"title {a}", d) for a, d in rows], "article_id string, title string, published_at timestamp_ntz")
+    companies = spark.createDataFrame([(t, "n", "e") for t in ("T1", "T4")], "ticker string, name string, exchange string")
+    prices = spark.createDataFrame([("T5", dt.date(2024, 1, 1))], "ticker string, price_date date")
+    out = reads.stock_summary(companies, prices, articles, feed)
+    got = {r.ticker: (r.news_associations, r.distinct_news_articles, r.newest_published_at) for r in out.collect()}
+    want = {"T4": (0, 0, None), "T5": (0, 0, None)}
+    for ticker in {t for _, t in links} - {"T4"}:
+        met = [(a, d) for a, t in links for b, d in rows if t == ticker and a is not None and a == b]
+        want[ticker] = (len(met), len({a for a, _ in met}), max((d for _, d in met if d), default=None))
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("keys=[")[1].split("]")[0] for line in plan.splitlines() if "Aggregate(keys=[" in line]
+    assert keys and not any("ticker" in k and "article_id" in k for k in keys)
