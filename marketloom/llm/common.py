@@ -12,14 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.session import shared_dir
 
 CHUNK_BYTES = 1 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder the cluster names and read back: lineage ends there,
-    and lost executors cost only the tasks that read it."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    and lost executors cost only the tasks that read it. The write's shuffle files go when it is done; otherwise
+    they stay beside what follows until the driver happens to collect its garbage."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

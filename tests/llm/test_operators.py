@@ -69,6 +69,49 @@ def test_suffix(docs):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def _shuffle_files(spark):
+    from pathlib import Path
+
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f: f.stat().st_size for d in dirs for f in Path(d).glob("*/shuffle_*.data")}
+
+
+def test_staged_leaves_no_shuffle_files(spark):
+    """Nor does it change the caller's setting, also where the write fails."""
+    from marketloom.llm.common import SHUFFLE_CLEANUP, staged
+
+    counted = spark.range(20_000).groupBy((F.col("id") % 5_000).alias("k")).agg(F.count("*").alias("n")).repartition(3, "n")
+    failing = spark.range(10).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    try:
+        for value in (None, "false", "true"):
+            spark.conf.unset(SHUFFLE_CLEANUP) if value is None else spark.conf.set(SHUFFLE_CLEANUP, value)
+            before = set(_shuffle_files(spark))
+            kept = staged(counted, "counted")
+            assert not set(_shuffle_files(spark)) - before
+            assert [tuple(r) for r in kept.agg(F.count("*"), F.sum("k"), F.max("n")).collect()] == [(5_000, 12_497_500, 4)]
+            with pytest.raises(Exception, match="no"):
+                staged(failing, "failing")
+            assert spark.conf.get(SHUFFLE_CLEANUP, None) == value
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+
+
+def test_suffix_drops_the_shuffled_samples(spark):
+    """The shuffle of the sampled suffixes is gone before the documents are shuffled."""
+    import random
+
+    from marketloom.llm.suffix import remove_repeats
+
+    rng = random.Random(5)
+    texts = {i: "".join(rng.choices("abcdefghij klmnop", k=20_000)) for i in range(40)}
+    texts[39] = texts[3][5_000:9_000] + texts[39]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    before = _shuffle_files(spark)
+    done = remove_repeats(docs)
+    assert sum(n for f, n in _shuffle_files(spark).items() if f not in before) < 100_000  # some 50,000 samples of 16 bytes
+    assert {r.doc_id: r.n_removed for r in done.collect()} == {i: 4_000 * (i == 39) for i in texts}
+
+
 @pytest.mark.parametrize("limit", [200, 1000, 10**9])
 def test_sharding(docs, limit):
     from marketloom.llm.sharding import shards
